@@ -1,0 +1,260 @@
+"""Template residue, filler and error pages in texts (problem 10).
+
+Placeholders are found by a grammar for each kind of delimiter. A placeholder
+does not count where the text talks about it: in a code block, or quoted in a
+sentence about templates, unless such placeholders are dense. A text is an
+error page if hardly anything but a title is left once the sentences of errors
+and notices are taken away.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from functools import lru_cache
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+#: Words besides errors and notices that a title or menu may have.
+TITLE_WORDS = 9
+#: Placeholders for each hundred words from which a text that talks about templates counts all the same.
+DENSITY = 20.0
+
+# a field's name: words that begin with a letter, joined by spaces, dots, hyphens or underscores
+_NAME = r"[^\W\d][\w]*(?:[ ._\-]{1,2}\w+){0,6}"
+_FILTER = r"(?:\s*\|[^\[\]{}<>\n]{0,40})?"
+_ASK = r"(?:insert|enter|specify|fill in|add|type|your|указать|укажите|вставить|вставьте|вписать|впишите|ввести|введите|заполнить|заполните|подставить|ваш[аие]?)"
+_CITE = r"(?:см|прим|ред|цит|рис|табл|стр|гл|там же|см\.|sic|see|cf|note|fig|ibid|p|pp|ed|edit|edited|emphasis|citation|quote|image|photo|video|audio|link|file|фото|видео|файл|подпись|печать|signature|signed|stamp|sealed|redacted|inaudible|laughter|смех|неразборчиво)"
+# fixed values: element names of HTML that stand alone in angle brackets, and frames of a stack trace
+_MARKUP = "a abbr address article aside audio b base blockquote body br button canvas caption cite code col dd del details div dl dt em embed fieldset figure footer form h1 h2 h3 h4 h5 h6 head header hr html i iframe img input ins kbd label legend li link main map mark meta nav object ol option p param pre q s samp script section select small source span strike strong style sub summary sup svg table tbody td template textarea tfoot th thead time title tr tt u ul var video wbr module lambda listcomp genexpr string stdin bos eos pad unk cls sep mask".split()
+
+#: (characters the text must have, grammar) by kind of delimiter.
+PLACEHOLDERS: list[tuple[str, str]] = [
+    ("{{", rf"\{{\{{\{{?[#/^&>]?\s*{_NAME}(?:\s*\|[^{{}}\n]{{0,40}})?\s*\}}\}}"),
+    ("{%", rf"\{{%-?\s*{_NAME}[^{{}}%\n]{{0,40}}-?%\}}"),
+    ("${", rf"\$\{{\s*{_NAME}\s*(?::[^{{}}\n]{{0,30}})?\}}"),
+    ("{", rf"\{{(?<![\w{{$%#\\:]\{{)\s*{_NAME}\s*\}}(?!\}})"),
+    ("[[", rf"\[\[\s*{_NAME}{_FILTER}\s*\]\]"),
+    ("[", rf"\[(?<![\[\w\]]\[)(?!{_CITE}\b){_NAME}\](?![\[(\]])(?<!\d\])"),
+    ("[", rf"\[{_ASK}\b[^\[\]\n]{{1,60}}\]"),
+    ("(", rf"\((?:{_ASK})\s*:\s*[^()\n]{{1,60}}\)|\((?:insert|enter|type)\s[^()\n]{{1,60}}?\shere\)|\((?:вставить|вписать|указать)\s[^()\n]{{1,60}}?\s(?:здесь|сюда)\)"),
+    ("<<", rf"<<\s*{_NAME}\s*>>"),
+    ("<", rf"<(?:TODO|FIXME|TBD|XXX)\b[^<>\n]{{0,60}}>"),
+    ("<", rf"<(?!/)(?!(?:{'|'.join(_MARKUP)})\b){_NAME}>(?!>)"),
+    ("<?", rf"<\?(?:=|php|php echo)?\s*\$?{_NAME}\s*;?\s*\?>"),
+    ("<%", rf"<%[=\-]?\s*{_NAME}\s*-?%>"),
+    ("&lt;", rf"&lt;(?!/)(?!(?:{'|'.join(_MARKUP)})\b){_NAME}&gt;"),
+    ("@@", rf"@@{_NAME}@@"),
+    ("%(", rf"%\({_NAME}\)[sdfr]"),
+    ("%", rf"%(?<![\w%]%){_NAME}%(?![\w%])"),
+    ("%%", rf"%%{_NAME}%%"),
+    ("#", rf"#(?<![\w#&]#)#?{_NAME}#(?!\w)"),
+    ("~", rf"~(?<![\w~]~){_NAME}~(?![\w~])"),
+    ("*|", rf"\*\|{_NAME}\|\*"),
+    ("^", rf"\^(?<![\w^]\^){_NAME}\^(?![\w^])"),
+    ("__", r"__(?<!\w__)[^\W_][\w]*?[^\W_]__(?![\w_])"),
+    ("|", rf"\|\|(?<![\w|*]\|\|){_NAME}\|\|(?![\w|*])"),
+]
+
+#: Values that a machine leaves where a template got none or a wrong one, case as written.
+MACHINE: list[tuple[str, str]] = [
+    ("[object", r"\[object [A-Z]\w*\]"),
+    ("undefined", r"(?<![\w.])(?<!is )(?<!are )(?<!was )(?<!were )(?<!left )(?<!remain )(?<!remains )(?<!be )(?<!an )(?<!of )undefined(?![\w=(])"),
+    ("NaN", r"(?<![\w.])NaN(?![\w(])"),
+    ("NULL", r"(?<![\w.])(?<!NOT )(?<!IS )NULL(?![\w(])"),
+    ("None", r"(?<![\w.\"'(=])(?<!: )None(?! of\b)(?!\s+(?:were|are|have|had|do|did|could|would|should|will|can|may|shall|remain|is|was|has|other|too|better|such|at|in|came|\w+ed)\b)(?![\w(=])"),
+    ("(null)", r"\(null\)"),
+    ("Invalid", r"(?<!\w)Invalid [Dd]ate(?!\w)"),
+    ("#", r"#(?:REF!?|N/A|NAME\?|VALUE!?|DIV/0!?|NUM!|NULL!|ИМЯ\?|ССЫЛКА!|ЗНАЧ!|Н/Д|ДЕЛ/0!|ЧИСЛО!|ПУСТО!)(?!\w)"),
+    ("???", r"(?<![\w?!.)»”\"])\?{3}(?![?!\w])"),
+    ("XX", r"(?<![\w])X{3,}(?:-X{3,})+(?!\w)|(?<!\w)X{4,}(?!\w)"),
+    ("ХХ", r"(?<!\w)Х{3,}(?:-Х{3,})+(?!\w)|(?<!\w)Х{4,}(?!\w)"),
+    ("DD", r"(?<!\w)DD([./\-])MM\1YY(?:YY)?(?!\w)"),
+    ("MM", r"(?<!\w)(?:MM([./\-])DD\1YY(?:YY)?|YYYY([./\-])MM\2DD)(?!\w)"),
+    ("ДД", r"(?<!\w)ДД([./\-])ММ\1ГГ(?:ГГ)?(?!\w)"),
+    ("дд", r"(?<!\w)дд([./\-])мм\1гг(?:гг)?(?!\w)"),
+]
+
+_THING = r"(?:text|heading|headline|copy|paragraph|caption|title|subtitle|content|description|sentence|name|image)"
+_RU_THING = r"(?:текст\w*|заголов\w+|абзац\w*|подпис\w+|описани\w+|содержани\w+|контент\w*)"
+_PART = r"(?:блока|раздела|документа|страницы|объекта|услуги|товара|сюда|здесь|сайта|компании)"
+# fixed values: words of the usual pseudo-Latin filler
+_LATIN = "lorem ipsum dolor sit amet consectetur adipiscing adipisicing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum".split()
+# fixed values: the letter rows of two keyboards
+_ROWS = ["qwertyuiop", "asdfghjkl", "zxcvbnm", "йцукенгшщзхъ", "фывапролджэ", "ячсмитьбю"]
+
+
+@lru_cache(maxsize=1)
+def _keys() -> frozenset[str]:
+    """Words of four letters or more that run along a keyboard row."""
+    return frozenset(row[i:j] for r in _ROWS for row in (r, r[::-1]) for i in range(len(r)) for j in range(i + 4, len(r) + 1))
+
+
+def _mashed(low: str) -> bool:
+    """Two such words in a row."""
+    words = low.split()
+    if _keys().isdisjoint(words):
+        return False
+    runs = [w.strip(".,;:!") in _keys() for w in words]
+    return any(a and b for a, b in zip(runs, runs[1:]))
+
+
+@lru_cache(maxsize=1)
+def _filler() -> list[tuple[tuple[str, ...], re.Pattern]]:
+    """(lower-case strings of which the text must have one, grammar)."""
+    flags = 0  # they are searched in lower case
+    latin = "|".join(_LATIN)
+    repeat = r"рыба|рыбатекст|бла|blah|bla|test|тест|text|текст|пример|example|sample|образец|dummy|placeholder|заглушка|filler|xxx|foo|lorem|слово|word"
+    return [
+        (("lorem", "ipsum", "dolor", "consectetur"), re.compile(r"\blorem ipsum dolor\b", flags)),
+        (("lorem", "ipsum", "dolor", "consec", "labor", "magna", "aliqu", "veniam", "ullamco"), re.compile(rf"\b(?:{latin})(?:[\s,.;]+(?:{latin})\b){{7,}}", flags)),
+        (tuple(repeat.split("|")), re.compile(rf"\b({repeat})(?:[\s,.!]+\1\b){{2,}}", flags)),
+        (("here", "follow", "layout", "replaced"), re.compile(rf"\b(?:sample|placeholder|dummy|example|your|filler|some|insert|more)\s+{_THING}\s+(?:here|goes here|appears here|comes here|will go here|to follow|for layout|(?:is )?to be replaced|to come)\b", flags)),
+        (("to add", "to edit", "to insert", "to type", "to enter"), re.compile(rf"\b(?:click|tap|double-click|press|use this block)(?: here)? to (?:add|edit|insert|type|enter)\s+(?:a |an |your |some |the )?(?:own |short |new )?{_THING}", flags)),
+        (("пример", "образец", "макет"), re.compile(rf"\b(?:пример|образец|макет)\s+{_RU_THING}\s+(?:под замену|для в[её]рстки|для проверки|для макета|для заполнения)", flags)),
+        (("впишите", "введите", "вставьте", "добавьте", "напишите"), re.compile(rf"\b(?:сюда\s+|здесь\s+)?(?:впишите|введите|вставьте|добавьте|напишите)\s+(?:сюда\s+|здесь\s+)?(?:ваш\s+|свой\s+)?{_RU_THING}(?:\s+{_PART})\b|\b(?:сюда|здесь)\s+(?:впишите|введите|вставьте|добавьте|напишите)\s+(?:ваш\s+|свой\s+)?{_RU_THING}", flags)),
+        (("здесь", "тут", "ниже", "в этом", "на этой", "сюда"), re.compile(rf"\b(?:здесь|тут|ниже|в этом (?:разделе|блоке)|на этой странице)\s+(?:будет|появится|добавим|разместим|должен быть|скоро будет|напишем|вставим)\s+(?:{_RU_THING}|(?:несколько|пара|пару) слов про тему)\s+(?:{_PART})", flags)),
+        (("здесь", "тут", "ниже", "в этом", "на этой"), re.compile(rf"\b(?:здесь|тут|ниже|в этом (?:разделе|блоке)|на этой странице)\s+(?:будет|появится|добавим|разместим)\s+(?:несколько слов|пара слов|пару слов)\b", flags)),
+        (("appear", "will be", "goes", "will go"), re.compile(rf"\b(?:here|this section|this page|below)\s+(?:we will (?:add|put)|will be|will appear|goes)\s+(?:a |the |some )?(?:{_THING}|few words)\b", flags)),
+        (("рыб", "заглушк"), re.compile(r"\bтекст[- ](?:рыба|заглушка)\b|\bрыбный текст\b", flags)),
+    ]
+
+
+#: Sentences of error pages and of notices that scripts, cookies or a check are required; taken out one by one.
+_SCRIPTS = r"(?:java\s?scripts?|js|scripts?|scripting|active content|cookies?|скрипт\w*|сценари\w*|куки)"
+_ON = r"(?:enable|allow|turn on|switch on|activate|accept|unblock|включит\w*|включить|разрешит\w*|разрешить|активир\w*)"
+_STATUS = r"(?:bad request|unauthorized|forbidden|not found|request time-?out|gone|too many requests|internal server error|bad gateway|service (?:temporarily )?unavailable|gateway time-?out|access denied|доступ (?:запрещ[её]н|ограничен|закрыт)|страница не найдена|файл не найден|документ не найден|слишком много запросов|внутренняя ошибка сервера|ошибка шлюза|шлюз не отвечает|сервис (?:временно )?недоступен|время ожидания истекло|требуется (?:вход|авторизация)|неверный запрос|ресурс (?:удал[её]н|перемещ[её]н)|удалено)"
+
+
+_END = r"(?=[.!?…;:\s|)\]}\"]|$)"
+_REST = r"[^.!?\n;«»\"]"  # the rest of a sentence of a page, not of prose
+_N = r"[1-5]\d\d"
+_SCRIPT_NEEDS = ("script", "js", "active content", "cookie", "скрипт", "сценари", "куки")
+
+#: (strings of which the lower-case text must have one, grammar): what is an error or notice.
+STRONG: list[tuple[tuple[str, ...], str]] = [
+    (("request", "unauth", "forbidden", "not found", "gone", "error", "gateway", "unavailable", "denied", "доступ запр", "доступ огр", "доступ закр", "не найден", "ошибка", "шлюз", "время ожидания", "требуется", "запросов", "запрос", "ресурс", "удалено", "недоступен"), rf"(?:(?:http|error|err|ошибка|код|status|code)\s*:?\s*(?:№\s*)?)?\(?\b{_N}\b\)?[\s.:\-–—]*{_STATUS}{_END}|\b{_STATUS}\b\s*(?:\(?(?:{_N})\)?)?{_END}"),
+    (("http", "err", "ошибка"), rf"\b(?:http|err|error|ошибка)\s*:?\s*{_N}\b"),
+    (("для ",), rf"\bдля (?:просмотра|работы|открытия|продолжения|доступа|отображения)\b{_REST}{{0,60}}{_ON}{_REST}{{0,60}}{_SCRIPTS}{_REST}{{0,50}}"),
+    (_SCRIPT_NEEDS, rf"\b(?:пожалуйста,? )?(?:{_ON})\s+(?:поддержку\s+)?{_SCRIPTS}\b{_REST}{{0,60}}|\bбез (?:{_SCRIPTS})\b{_REST}{{0,60}}"),
+    (_SCRIPT_NEEDS, rf"\b(?:you|please|to go on,?|to continue,?|kindly)\s+(?:need to|must|have to|should)?\s*{_ON}\s+{_REST}{{0,30}}{_SCRIPTS}\b{_REST}{{0,60}}"),
+    (_SCRIPT_NEEDS, rf"\b{_SCRIPTS}(?: and {_SCRIPTS})? (?:is|are) (?:turned off|disabled|required|switched off|blocked)\b{_REST}{{0,50}}"),
+    (_SCRIPT_NEEDS, rf"\b(?:this|the) (?:page|site|app|document|portal|viewer|table) (?:requires|needs|works only with|cannot run without)\b{_REST}{{0,20}}{_SCRIPTS}{_REST}{{0,40}}"),
+    (("браузер не",), rf"\b(?:ваш )?браузер не поддерживает\b{_REST}{{0,60}}"),
+    (("if nothing",), rf"\bif nothing happens\b,?{_REST}{{0,60}}"),
+    (("checking",), rf"\bchecking (?:your browser|if the site connection|that you are)\b{_REST}{{0,60}}"),
+    (("робот", "ваш браузер", "robot", "human"), rf"\bпроверяем,? (?:что )?(?:вы не робот|ваш браузер){_REST}{{0,40}}|\b(?:verify|confirm|prove)\s+(?:that )?you are (?:not a robot|human){_REST}{{0,40}}|\b(?:подтвердите, что )?вы не робот\b"),
+    (("the requested",), rf"\bthe requested (?:url|page|document|file)\b[^\n;«»\"]{{0,60}}?(?:not found|was not found|moved|unavailable){_REST}{{0,40}}"),
+    (("the server", "your request"), rf"\bthe server was unable to complete your request\b|\byour request has been (?:blocked|denied){_REST}{{0,20}}"),
+    (("went wrong", "не так", "oops", "this site", "the file you", "no preview"), r"\bsomething went wrong(?: on our side| on our end)?\b|\bчто-то пошло не так\b|\boops,? we lost this page\b|\bthis site can['’]t be reached\b|\bthe file you asked for is no longer here\b|\bno preview available\b"),
+    (("session", "сеанс"), r"\b(?:session expired|сеанс (?:завершён|завершен|ист[её]к)|(?:your )?session has expired)\b"),
+    (("you need", "нужен доступ", "access"), r"\b(?:you need (?:permission|access)|вам нужен доступ|access (?:is )?required)\b"),
+    (("файл", "не удалось"), r"\bфайл слишком велик для предпросмотра\b|\bне удалось открыть (?:файл|документ|страницу)\b|\bфайл удал[её]н владельцем\b(?:\s*\(\d+\))?"),
+    (("запрашиваем", "превышен", "технические"), rf"\bзапрашиваем\w+ (?:документ|страница|файл|ресурс)\b{_REST}{{0,60}}|\bпревышен лимит запросов\b{_REST}{{0,40}}|\bтехнические работы\b{_REST}{{0,30}}"),
+    (("exception", "traceback", "error", "failed"), r"\bunhandled exception\b|\btraceback \(most recent call last\):?|\b\w+(?:error|exception):[^\n]{0,80}|\bexport failed\b:?"),
+    (("administrator",), rf"\bcontact your administrator\b{_REST}{{0,40}}"),
+]
+#: What accompanies an error or notice, and makes none alone.
+WEAK: list[tuple[tuple[str, ...], str]] = [
+    (("file ",), r"file \"[^\"\n]{1,80}\", line \d+(?:, in [<\w.>]+)?"),
+    (("sign in", "log in", "ask the owner", "account"), rf"\b(?:please )?(?:sign in|log in)(?: again)?\b{_REST}{{0,30}}|\bask the owner\b{_REST}{{0,60}}|\bswitch to another account\b"),
+    (("reload", "refresh", "go back"), rf"\b(?:reload|refresh)(?: the page)?\b{_REST}{{0,40}}|\bgo back to the start\b"),
+    (("попробуйте", "проверьте", "обратитесь", "вернуться"), rf"\bпопробуйте\b{_REST}{{0,60}}|\bпроверьте адрес\b{_REST}{{0,40}}|\bобратитесь к (?:владельцу|администратору)\b{_REST}{{0,60}}|\bвернуться (?:на главную|назад)\b"),
+    (("мы уже", "зайдите", "не закрывайте", "подождите", "обновите"), rf"\bмы уже работаем\b{_REST}{{0,40}}|\bзайдите позже\b|\bне закрывайте окно\b|\bподождите\b{_REST}{{0,20}}|\bобновите страницу\b"),
+    (("request id", "incident", "reference", "инцидента", "trace id", "ray id"), r"\b(?:request id|incident|error reference|код инцидента|trace id|reference|ray id)\s*:?\s*[\w\-]{2,40}"),
+    (("loading", "gw-", "few seconds", "before access", "oops", "упс"), r"\bloading(?: viewer)?\b|\bgw-\d+ \(proxy\) at [\d.]+|\bthis takes a few seconds\b|\bbefore access\b|\b(?:oops|упс)\b"),
+]
+
+
+@lru_cache(maxsize=2)
+def _compiled(strong: bool) -> list[tuple[tuple[str, ...], re.Pattern]]:
+    return [(needs, re.compile(rx)) for needs, rx in (STRONG if strong else WEAK)]
+
+
+_JSON_ERROR = re.compile(r"\{\s*\"(?:error|errors|fault|exception|failure)\"\s*:.{0,600}\}\s*$", re.S | re.I)
+_WORD = re.compile(r"[^\W\d_]{2,}")
+_CODE = re.compile(r"```.*?```|~~~.*?~~~|(?m:^(?: {4}|\t).*$(?:\n(?: {4}|\t).*$)*)|<(code|pre)\b.*?</\1>|`[^`\n]{1,200}`", re.S)
+_TALK = re.compile(r"\b(?:placeholder|template|templat\w+|variable|syntax|merge field|tutorial|for example|e\.g\.|escap\w+|macro|tag|marker|format|шаблон\w*|переменн\w+|подставля\w+|подстановк\w+|плейсхолдер\w*|синтаксис\w*|например|макрос\w*|тег\w*|метк\w+|маркер\w*|формат\w*|строк\w+ выгрузки)\b", re.I)
+_QUOTED = re.compile(r"[«\"“'`]\s*$")
+
+
+@lru_cache(maxsize=1)
+def _grammars() -> list[tuple[str, re.Pattern]]:
+    return [(need, re.compile(rx, re.I if need not in dict(MACHINE) or need == "[object" else 0)) for need, rx in PLACEHOLDERS] + [(need, re.compile(rx)) for need, rx in MACHINE]
+
+
+def placeholders(text: str) -> list[tuple[int, int]]:
+    """Spans of placeholders and machine values that the text does not merely talk about."""
+    found = [m.span() for need, rx in _grammars() if need in text for m in rx.finditer(text)]
+    if not found:
+        return []
+    code = [m.span() for m in _CODE.finditer(text)] if "`" in text or "~~~" in text or "<code" in text or "<pre" in text else []
+    found = [s for s in found if not any(a <= s[0] < b for a, b in code)]
+    told = []
+    for s in found:
+        left = max(text.rfind("\n", 0, s[0]), text.rfind(". ", 0, s[0])) + 1
+        stop = [e for e in (text.find("\n", s[1]), text.find(". ", s[1])) if e >= 0]
+        sentence = text[left : min(stop) if stop else len(text)]
+        told.append(bool(_QUOTED.search(text[max(0, s[0] - 3) : s[0]]) and _TALK.search(sentence.replace(text[s[0] : s[1]], " "))))
+    if all(told) and 100.0 * len(found) < DENSITY * max(1, len(_WORD.findall(text))):
+        return []
+    return [s for s, t in zip(found, told) if not t] or found
+
+
+def has_filler(text: str) -> bool:
+    low = text.lower()
+    return any(any(n in low for n in needs) and rx.search(low) for needs, rx in _filler()) or _mashed(low)
+
+
+def _stretches(text: str, least: int = 300) -> Iterator[str]:
+    """The text in stretches that end with a line or sentence."""
+    at = 0
+    while at < len(text):
+        stops = [e for e in (text.find("\n", at + least), text.find(". ", at + least)) if e >= 0]
+        end = min(stops) + 1 if stops else len(text)
+        yield text[at:end]
+        at = end
+
+
+def is_error_page(text: str) -> bool:
+    """Nothing but errors and notices, besides a title or menu. The text is read as far as other words stay few."""
+    if "{" in text and _JSON_ERROR.search(text) and len(_WORD.findall(text[: text.find("{")])) <= TITLE_WORDS:
+        return True
+    hits = words = 0
+    for part in _stretches(text.lower()):
+        for strong in (True, False):
+            for needs, rx in _compiled(strong):
+                if any(n in part for n in needs):
+                    part, n = rx.subn(" ", part)
+                    hits += n if strong else 0
+        words += len(_WORD.findall(part))
+        if words > TITLE_WORDS:
+            return False
+    return hits > 0
+
+
+def residue_kind(text: str | None) -> str | None:
+    """`placeholder`, `filler`, `error_page` or null; null and blank texts have none."""
+    if not text or text.isspace():
+        return None
+    if placeholders(text):
+        return "placeholder"
+    if has_filler(text):
+        return "filler"
+    return "error_page" if is_error_page(text) else None
+
+
+def _run(key: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kinds = pa.array([residue_kind(t) for t in b.column(1).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0), kinds], [key, "kind"])
+
+    return run
+
+
+def find_residue(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, kind) of every text that is to be excluded; whole texts are read, repeated rows stay."""
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(key, text).mapInArrow(_run(key), f"`{key}` {kind}, kind string").where("kind is not null")
