@@ -76,3 +76,23 @@ def _cleanup() -> None:
         except Exception:  # the session may be gone already
             pass
     _written.clear()
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a context, for functions that run in Python there."""
+    import zipfile
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="tidemark-code-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, f"{root.name}/{p.relative_to(root)}")
+    sc.addPyFile(str(target))
+    _shipped.add(sc.applicationId)
