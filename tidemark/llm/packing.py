@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, release
+from ..session import materialize, release, ship
 
 CAPACITY, PER_PARTITION, ROUNDS = 2048, 20_000, 3
 
@@ -86,6 +86,7 @@ def pack(sizes: DataFrame, key: str = "doc_id", size: str = "n_tokens", capacity
     capacity fills as many containers as it can alone, and its rest is packed.
     Containers never hold more than `capacity`. An empty table gives no rows.
     """
+    ship(sizes.sparkSession)
     kind = sizes.schema[key].dataType.simpleString()
     n = F.coalesce(F.greatest(F.col(size), F.lit(0)), F.lit(0)).cast("int")
     # copies of a key are told apart by what they are dealt with, not by their place

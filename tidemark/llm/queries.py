@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.common import table
+from ..session import materialize
 from . import lookalike, packing, residue, survivor, tokenizer
 
 
@@ -29,8 +30,6 @@ def p2_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _names(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    from ..session import materialize
-
     objects = materialize(lookalike.current_names(table(spark, sf_dir, "inventory_items", "file_id", "name", "listed_at")), "objects")
     return objects, lookalike.classes(objects)
 
@@ -89,7 +88,8 @@ _UNKNOWN = ", ".join(f"'{w}'" for w in survivor.UNKNOWN)
 
 def _filled(c: str) -> str:
     core = rf"regexp_replace(lower({c}), '[^\p{{L}}\p{{N}}]+', '', 'g')"
-    return f"(coalesce(trim({c}), '') <> '' and {core} <> '' and {core} not in ({_UNKNOWN}))"
+    rooted = rf" or coalesce(regexp_matches({c}, '^\s*/.*[\p{{L}}\p{{N}}]'), false)" if c == "path" else ""
+    return f"(coalesce(coalesce(trim({c}), '') <> '' and {core} <> '' and {core} not in ({_UNKNOWN}), false){rooted})"
 
 
 SQL = {

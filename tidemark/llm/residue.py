@@ -16,6 +16,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..session import ship
+
 #: Words besides errors and notices that a title or menu may have.
 TITLE_WORDS = 9
 #: Placeholders for each hundred words from which a text that talks about templates counts all the same.
@@ -256,5 +258,6 @@ def _run(key: str):
 
 def find_residue(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, kind) of every text that is to be excluded; whole texts are read, repeated rows stay."""
+    ship(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(_run(key), f"`{key}` {kind}, kind string").where("kind is not null")

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 FOLDER = os.environ.get("TIDEMARK_TOKENIZERS", "/opt/tokenizers")
 #: Pieces and pairs whose results a worker remembers; past that it forgets them all and computes them again.
 MEMO_PIECES, MEMO_PAIRS = 300_000, 1_000_000
@@ -186,12 +188,14 @@ def _batches(path: str, key: str, text: str, counts: bool):
 
 def encode_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     """(key, ids) of every row. Null and empty texts have an empty list; blank ones are encoded like any other. Repeated rows stay."""
+    ship(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(_batches(f"{FOLDER}/{vocabulary}", key, text, False), f"`{key}` {kind}, ids array<int>")
 
 
 def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     """(key, n_tokens) of every row."""
+    ship(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(_batches(f"{FOLDER}/{vocabulary}", key, text, True), f"`{key}` {kind}, n_tokens int")
 
