@@ -23,8 +23,8 @@ TITLE_WORDS = 9
 #: Placeholders for each hundred words from which a text that talks about templates counts all the same.
 DENSITY = 20.0
 
-# a field's name: words that begin with a letter, joined by spaces, dots, hyphens or underscores
-_NAME = r"[^\W\d][\w]*(?:[ ._\-]{1,2}\w+){0,6}"
+# a field's name: words that begin with a letter, joined by spaces, dots, hyphens or underscores, or broken over two lines
+_NAME = r"[^\W\d][\w]*(?:(?:[ ._\-]{1,2}|-? ?\r?\n ?)\w+){0,6}"
 _FILTER = r"(?:\s*\|[^\[\]{}<>\n]{0,40})?"
 _ASK = r"(?:insert|enter|specify|fill in|add|type|your|указать|укажите|вставить|вставьте|вписать|впишите|ввести|введите|заполнить|заполните|подставить|ваш[аие]?)"
 _CITE = r"(?:см|прим|ред|цит|рис|табл|стр|гл|там же|см\.|sic|see|cf|note|fig|ibid|p|pp|ed|edit|edited|emphasis|citation|quote|image|photo|video|audio|link|file|фото|видео|файл|подпись|печать|signature|signed|stamp|sealed|redacted|inaudible|laughter|смех|неразборчиво)"
