@@ -21,6 +21,7 @@ from ..session import materialize
 
 FANOUT_BITS, LEVELS = 4, 3
 LEAVES = 1 << (FANOUT_BITS * LEVELS)
+MAX_RUNS = 100_000
 
 STATE = "file_id string, at timestamp, content string"
 SEEN = "file_id string, row_hash bigint"
@@ -44,7 +45,9 @@ def batches(feed: DataFrame, run_log: DataFrame, after_run: int | None = None) -
     # one row a run, so one ordered window over them is small
     runs = rows.select("run_id").distinct().join(good.withColumn("__good", F.col("run_id")), "run_id", "full_outer")
     seen_by = runs.select("run_id", F.min("__good").over(Window.orderBy(F.desc("run_id"))).alias("seen_by"))
-    seen = rows.join(F.broadcast(seen_by), "run_id").drop("run_id")
+    # as many rows as there are runs, which is checked; past that they are joined by shuffle
+    seen_by = F.broadcast(seen_by) if runs.limit(MAX_RUNS + 1).count() <= MAX_RUNS else seen_by
+    seen = rows.join(seen_by, "run_id").drop("run_id")
     best = F.max(F.struct("at", "feed_seq", "content")).alias("r")
     return seen.where(F.col("seen_by").isNotNull()).groupBy(F.col("seen_by").alias("run_id"), "file_id").agg(best).select("run_id", "file_id", F.col("r.at").alias("at"), F.col("r.content").alias("content"), F.col("r.feed_seq").alias("feed_seq"))
 
@@ -146,8 +149,8 @@ def changed_files(feed: DataFrame, run_log: DataFrame) -> DataFrame:
 class IncrementalStore:
     """Publishes output, state and tree of each call together, so that a failed call leaves nothing behind.
 
-    A version is a folder; it counts only once the pointer file names it, and
-    the pointer is replaced by one atomic rename. A call that dies is repeated
+    A version is a folder; it counts only once a numbered pointer file names
+    it, which appears by one atomic rename. A call that dies is repeated
     from the last published version: no record is skipped or repeated.
     """
 
@@ -157,11 +160,18 @@ class IncrementalStore:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
+    def _pointers(self) -> list[str]:
+        if not self._fs.exists(self._path(self.folder)):
+            return []
+        names = [f.getPath().getName() for f in self._fs.listStatus(self._path(self.folder))]
+        return sorted(n for n in names if n.startswith("pointer-"))
+
     def current(self) -> dict | None:
-        p = f"{self.folder}/CURRENT"
-        if not self._fs.exists(self._path(p)):
+        """The published version: {version, run_id, number}."""
+        found = self._pointers()
+        if not found:
             return None
-        return json.loads("".join(r[0] for r in self.spark.read.text(p).collect()))
+        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.folder}/{found[-1]}").collect()))
 
     def read(self, part: str) -> DataFrame | None:
         now = self.current()
@@ -178,7 +188,10 @@ class IncrementalStore:
         state, seen = self.read("state"), self.read("seen")
         version = f"v-{uuid.uuid4().hex}"
         at = f"{self.folder}/{version}"
-        cases(changed_rows(rows, seen), state).write.parquet(f"{at}/output")
+        touched = rows.select("file_id").distinct()
+        # files this call does not deliver can't move a digest, so their hashes are not read further
+        near = None if seen is None else seen.join(touched, "file_id", "left_semi")
+        cases(changed_rows(rows, near), state).write.parquet(f"{at}/output")
         out = self.spark.read.parquet(f"{at}/output")
         new_state = out.groupBy("file_id").agg(F.max_by(F.struct("at", "content"), "run_id").alias("s")).select("file_id", "s.at", "s.content")
         new_seen = rows.groupBy("file_id").agg(F.max_by(F.struct("at", "content"), "run_id").alias("s")).select("file_id", F.xxhash64("file_id", F.col("s.at").cast("long"), F.unix_micros("s.at"), "s.content").alias("row_hash"))
@@ -186,17 +199,14 @@ class IncrementalStore:
         merge(state, new_state).write.parquet(f"{at}/state")
         merge(seen, new_seen).write.parquet(f"{at}/seen")
         with_leaf(self.spark.read.parquet(f"{at}/seen")).groupBy("leaf").agg(F.sum(F.shiftrightunsigned("row_hash", 32)).alias("hi"), F.sum(F.col("row_hash").bitwiseAND(F.lit(0xFFFFFFFF))).alias("lo"), F.count("*").alias("keys")).write.parquet(f"{at}/tree")
-        self._publish({"version": version, "run_id": int(top)})
+        self._publish({"version": version, "run_id": int(top), "number": (now["number"] if now else 0) + 1})
         return out
 
     def _publish(self, pointer: dict) -> None:
-        tmp = self._path(f"{self.folder}/.CURRENT-{pointer['version']}")
+        """Write the pointer aside and give it its name, which fails if another call has published that number."""
+        tmp = self._path(f"{self.folder}/{pointer['version']}/pointer")
         stream = self._fs.create(tmp, True)
         stream.write(bytearray(json.dumps(pointer).encode()))
         stream.close()
-        target = self._path(f"{self.folder}/CURRENT")
-        ctx = self.spark.sparkContext._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
-        over = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        arr = self.spark.sparkContext._gateway.new_array(over.getClass(), 1)
-        arr[0] = over
-        ctx.rename(tmp, target, arr)
+        if not self._fs.rename(tmp, self._path(f"{self.folder}/pointer-{pointer['number']:012d}")):
+            raise RuntimeError(f"version {pointer['number']} is published already")

@@ -43,7 +43,7 @@ def resolve(refs: DataFrame, targets: DataFrame, keys: list[str], status: dict,
         satisfied = not on or (match == "simple" and len(on) < len(keys))
         broken = match == "full" and 0 < len(on) < len(keys)
         if satisfied or broken:
-            types = dict(targets.agg(*(a.alias(n) for n, a in status.items())).dtypes)
+            types = dict(targets.agg(*(a.alias(n) for n, a in status.items())).dtypes) if status else {}
             part = mine.select("*", *(F.lit(None).cast(types[n]).alias(n) for n in status), F.lit(satisfied).alias("found"))
         else:
             one = targets.where(" and ".join(f"`{k}` is not null" for k in on)).groupBy(*on).agg(*(a.alias(n) for n, a in status.items()), F.lit(True).alias("__found"))

@@ -34,8 +34,10 @@ def split_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", h
     Left rows of hot keys meet at most MAX_HOT broadcast rows of `right` where
     they lie; all others go through an ordinary shuffled join. Null keys match
     nothing and never shuffle. Empty sides give an empty or unmatched result.
+    Columns of `right` that `left` has too get the suffix `_right`.
     """
     assert how in ("left", "inner")
+    right = right.withColumnsRenamed({c: f"{c}_right" for c in right.columns if c != key and c in left.columns})
     hot = hot_keys(left, key) if hot is None else hot
     cols = [*left.columns, *(c for c in right.columns if c != key)]
     nulls = None
