@@ -14,6 +14,7 @@ import unicodedata
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import split_join
 from ..session import materialize
 
 COLLATION = "UNICODE"
@@ -32,7 +33,7 @@ _MARKS = ["‐-", "‑-", "﹣-", "’'", "‘'", "ʼ'", "′'", "＇'", "“\""
 def _map() -> tuple[str, str]:
     """Characters and what each looks like: the lists above, and compatibility forms of one character by rule."""
     pairs = {p[0]: p[1:] for p in _LETTERS + _MARKS}
-    for block in ((0xFF01, 0xFF5E), (0x1D400, 0x1D7FF), (0x24B6, 0x24B5)):  # full-width forms, mathematical letters
+    for block in ((0xFF01, 0xFF5E), (0x1D400, 0x1D7FF)):  # full-width forms, mathematical letters
         for i in range(block[0], block[1] + 1):
             to = unicodedata.normalize("NFKC", chr(i))
             if len(to) == 1 and to != chr(i):
@@ -86,7 +87,7 @@ def current_names(items: DataFrame) -> DataFrame:
     return items.where(F.col("file_id").isNotNull()).groupBy("file_id").agg(r).select("file_id", F.col("r.name").alias("name"))
 
 
-#: Members of one spelling that one task pairs; a spelling of more is dealt to several.
+#: Members of one spelling that one task pairs; a spelling of more is dealt into parts.
 MEMBERS = 50_000
 
 
@@ -94,27 +95,22 @@ def look_alike_pairs(objects: DataFrame, forms: DataFrame) -> DataFrame:
     """(file_id_a, file_id_b), file_id_a < file_id_b, of objects whose names look the same and are not the same string.
 
     Spellings are paired within a class, never objects: copies of one spelling
-    meet only members of other spellings. The larger side of a pair of
-    spellings is dealt into parts of MEMBERS, to each of which the smaller side
-    is sent, so a name that a third of all objects bear does not fill one task.
+    meet only members of other spellings, so no pair is made that is not in the
+    result. Both sides of a pair of spellings are dealt into parts of MEMBERS,
+    and parts meet parts, so a name that a third of all objects bear does not
+    fill one task.
     """
-    many = forms.where(F.col("n_forms") > 1).select("class_id", "key", "name", "n")
-    other = many.select("class_id", F.col("key").alias("key2"), F.col("name").alias("name2"), F.col("n").alias("n2"))
-    larger = (F.col("n") > F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("name") < F.col("name2")))
-    # an exact check: the mapped texts agree when composed, however they are composed
-    pairs = many.join(other, "class_id").where(larger & (F.col("name") != F.col("name2")))
-    pairs = pairs.select("name", "name2", F.ceil(F.col("n") / MEMBERS).cast("int").alias("parts"))
-    parted = pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    # how many parts each of the few spellings with more than MEMBERS members has
-    big = many.where(F.col("n") > MEMBERS).select("name", F.ceil(F.col("n") / MEMBERS).cast("int").alias("parts"))
-    side = objects.join(many.select("name"), "name", "left_semi").join(big, "name", "left")
-    side = side.select("file_id", "name", F.pmod(F.xxhash64("file_id"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
-    a = side.join(parted, ["name", "part"]).select(F.col("file_id").alias("a"), "name2", "part")
-    b = objects.select(F.col("file_id").alias("b"), F.col("name").alias("name2"))
-    both = a.join(b, "name2")
-    return both.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("file_id_a"), F.greatest("a", "b").alias("file_id_b"))
+    many = forms.where(F.col("n_forms") > 1).select("class_id", "name", F.ceil(F.col("n") / MEMBERS).cast("int").alias("parts"))
+    other = many.select("class_id", F.col("name").alias("name2"), F.col("parts").alias("parts2"))
+    pairs = many.join(other, "class_id").where(F.col("name") < F.col("name2"))
+    grid = pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("part2", F.explode(F.sequence(F.lit(0), F.col("parts2") - 1)))
+    side = split_join(objects, many.select("name", "parts"), "name", "inner")
+    side = side.select("file_id", "name", F.pmod(F.xxhash64("file_id"), F.col("parts")).cast("int").alias("part"))
+    a = side.withColumnRenamed("file_id", "a").join(grid.select("name", "part", "name2", "part2"), ["name", "part"])
+    b = side.select(F.col("file_id").alias("b"), F.col("name").alias("name2"), F.col("part").alias("part2"))
+    return a.join(b, ["name2", "part2"]).select(F.least("a", "b").alias("file_id_a"), F.greatest("a", "b").alias("file_id_b"))
 
 
 def canonical_names(objects: DataFrame, forms: DataFrame) -> DataFrame:
     """(file_id, name, canonical_name): one consistent form of each object's name; null names keep null."""
-    return objects.join(forms.select("name", F.col("canonical").alias("canonical_name")), "name", "left").select("file_id", "name", "canonical_name")
+    return split_join(objects, forms.select("name", F.col("canonical").alias("canonical_name")), "name", "left").select("file_id", "name", "canonical_name")
