@@ -71,7 +71,7 @@ def classes(names: DataFrame, name: str = "name") -> DataFrame:
     """
     distinct = names.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("name")).agg(F.count("*").alias("n"))
     plain = F.col("name").rlike(r"^[\x20-\x7E]*$")
-    odd = F.length("name") - F.length(F.regexp_replace("name", INVISIBLE + r"|[\p{Z}&&[^ ]]|[！-～]|\p{M}", "")) + F.length("name") - F.length(F.trim("name"))
+    odd = F.length("name") - F.length(F.regexp_replace("name", INVISIBLE + r"|[\p{Z}&&[^ ]]|[！-～]|\p{M}", "")) + F.length("name") - F.length(F.trim(F.regexp_replace("name", " {2,}", " ")))
     mixed = F.col("name").rlike(r"\p{IsLatin}\p{M}*[\p{IsCyrillic}\p{IsGreek}]|[\p{IsCyrillic}\p{IsGreek}]\p{M}*\p{IsLatin}").cast("int")
     key = looks_like(F.col("name"))
     keyed = materialize(distinct.select("name", "n", F.when(plain, F.trim(F.regexp_replace("name", " +", " "))).otherwise(key).alias("key"), odd.alias("odd"), mixed.alias("mixed")), "names")

@@ -92,7 +92,26 @@ def _filled(c: str) -> str:
     return f"(coalesce(coalesce(trim({c}), '') <> '' and {core} <> '' and {core} not in ({_UNKNOWN}), false){rooted})"
 
 
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _looks_like(c: str) -> str:
+    c = rf"regexp_replace({c}, '[\t\n\r\x0B\x0C\x{{85}}\p{{Z}}]+', ' ', 'g')"
+    c = rf"regexp_replace({c}, '[\p{{Cf}}\p{{Cc}}\x{{34F}}\x{{115F}}\x{{1160}}\x{{17B4}}\x{{17B5}}\x{{180B}}-\x{{180F}}\x{{3164}}\x{{FE00}}-\x{{FE0F}}\x{{FFA0}}\x{{E0100}}-\x{{E01EF}}]', '', 'g')"
+    c = f"translate(trim(regexp_replace({c}, ' +', ' ', 'g')), {_q(lookalike._map()[0])}, {_q(lookalike._map()[1])})"
+    for a, b in lookalike._LIGATURES.items():
+        c = f"replace({c}, {_q(a)}, {_q(b)})"
+    return f"nfc_normalize({c})"
+
+
+_NAMES = f"""with o as (select file_id, name, {_looks_like("name")} as k from (select *, row_number() over (partition by file_id order by listed_at desc nulls last, name desc nulls last) as r
+  from inventory_items where file_id is not null) where r = 1)"""
+
 SQL = {
+    "p3_found": f"{_NAMES} select a.file_id as file_id_a, b.file_id as file_id_b from o a join o b on a.k = b.k and a.name <> b.name and a.file_id < b.file_id",
     "p2_found": f"""
       with r as (select *, try_cast(upper(trim(modified_time)) as timestamptz) as mt, {" + ".join(f"cast({_filled(c)} as int)" for c in survivor.FIELDS)} as n_filled
           from corpus_rows where trim(duplicate_group_id) <> '' and file_id is not null),

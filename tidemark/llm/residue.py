@@ -130,7 +130,7 @@ _STATUS = r"(?:bad request|unauthorized|forbidden|not found|request time-?out|go
 
 
 _END = r"(?=[.!?…;:\s|)\]}\"]|$)"
-_REST = r"[^.!?\n;«»\"]"  # the rest of a sentence of a page, not of prose
+_REST = r"[^.,!?\n;«»\"]"  # the rest of a sentence of a page, not of prose
 _N = r"[1-5]\d\d"
 _SCRIPT_NEEDS = ("script", "js", "active content", "cookie", "скрипт", "сценари", "куки")
 
