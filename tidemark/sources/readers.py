@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition
 
 from ..functions.text import normalize_name, path_depth, split_extension
+from ..session import ship
 
 NATIVE = "application/vnd.google-apps."
 FOLDER, SHEET = NATIVE + "folder", NATIVE + "spreadsheet"
@@ -136,7 +137,7 @@ class _ListingReader(DataSourceReader):
 
 
 class ListingSource(DataSource):
-    """spark.dataSource.register(ListingSource); spark.read.format("paged_listing").option("path", ...).load()"""
+    """A JSON-lines listing, read by pages: spark.read.format("paged_listing").option("path", ...).load() after register_listing."""
 
     @classmethod
     def name(cls) -> str:
@@ -147,3 +148,10 @@ class ListingSource(DataSource):
 
     def reader(self, schema) -> DataSourceReader:
         return _ListingReader(self.options)
+
+
+def register_listing(spark: SparkSession) -> None:
+    """Make the format known, with filters pushed down to it."""
+    ship(spark)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(ListingSource)
