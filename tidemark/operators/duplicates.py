@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import distinct_matches, strip_version_markers
+from ..session import materialize
 from .skew import split_join
 
 
@@ -68,15 +69,13 @@ def groups(files: DataFrame, key: Column, prefix: str, order: tuple[str, ...] =
     return numbered.join(best, "__key").select(F.col("__key").alias("key"), F.format_string(prefix + "-%05d", "number").alias("group_id"), "n_rows", "n_files", "total_size", "canonical_id")
 
 
-def number(df: DataFrame, order: str, name: str = "number", parts: int = 64) -> DataFrame:
+def number(df: DataFrame, order: str, name: str = "number", parts: int = 16) -> DataFrame:
     """Consecutive numbers from 1 in the order of one column of distinct values, without a single-task sort of all rows.
 
     Rows are sorted by range into parts; each part numbers its own, and the
     parts' counts, at most `parts` rows, shift them.
     """
     spread = df.repartitionByRange(parts, order).withColumn("__p", F.spark_partition_id())
-    from ..session import materialize
-
     spread = materialize(spread, "number")
     sizes = spread.groupBy("__p").agg(F.count("*").alias("n"))
     shift = sizes.withColumn("__shift", F.coalesce(F.sum("n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__p", "__shift")
@@ -96,6 +95,8 @@ def all_duplicates(files: DataFrame) -> DataFrame:
 
     Overridden members still count towards the size and numbering of the group they would have had.
     """
+    # three passes read the files, which may be a long plan
+    files = materialize(files, "files")
     passes = [("exact", content_key(), "EXACT", 0), ("semantic_candidate", identifier_key(), "SEMANTIC", 1), ("version_candidate", version_key(), "VERSION", 2)]
     each = [members(files, k, p).withColumns({"kind": F.lit(name), "rank": F.lit(rank)}) for name, k, p, rank in passes]
     union = reduce(DataFrame.unionByName, each)

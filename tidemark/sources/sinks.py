@@ -32,3 +32,34 @@ def markdown_table(df: DataFrame, most: int = 50) -> str:
     cell = lambda v: "" if v is None else str(v).replace("|", "\\|").replace("\n", " ")
     head = f"| {' | '.join(df.columns)} |\n|{'---|' * len(df.columns)}\n"
     return head + "".join(f"| {' | '.join(map(cell, r))} |\n" for r in rows)
+
+
+def write_workbook(sheets: dict[str, DataFrame], path: str, most: int = 10_000) -> None:
+    """A spreadsheet of small report tables, at most `most` rows each, with a frozen header row and a filter; a local file."""
+    from xml.sax.saxutils import escape
+    from zipfile import ZIP_DEFLATED, ZipFile
+
+    def column(i: int) -> str:
+        return (column(i // 26 - 1) if i >= 26 else "") + chr(65 + i % 26)
+
+    def cell(r: int, i: int, v: object) -> str:
+        at = f"{column(i)}{r}"
+        if isinstance(v, (int, float)) and not isinstance(v, bool):
+            return f'<c r="{at}"><v>{v}</v></c>'
+        clean = "".join(c for c in ("" if v is None else str(v)) if c in "\t\n\r" or ord(c) >= 32)
+        return f'<c r="{at}" t="inlineStr"><is><t xml:space="preserve">{escape(clean[:32_000])}</t></is></c>'
+
+    ns, head = "http://schemas.openxmlformats.org", '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+    main, rel = f"{ns}/spreadsheetml/2006/main", f"{ns}/officeDocument/2006/relationships"
+    names = [n[:31] for n in sheets]
+    with ZipFile(path, "w", ZIP_DEFLATED) as z:
+        kinds = "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in range(1, len(names) + 1))
+        z.writestr("[Content_Types].xml", f'{head}<Types xmlns="{ns}/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>{kinds}</Types>')
+        z.writestr("_rels/.rels", f'{head}<Relationships xmlns="{ns}/package/2006/relationships"><Relationship Id="r1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
+        z.writestr("xl/workbook.xml", f'{head}<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>' + "".join(f'<sheet name="{escape(n)}" sheetId="{i}" r:id="r{i}"/>' for i, n in enumerate(names, 1)) + "</sheets></workbook>")
+        z.writestr("xl/_rels/workbook.xml.rels", f'{head}<Relationships xmlns="{ns}/package/2006/relationships">' + "".join(f'<Relationship Id="r{i}" Type="{rel}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(names) + 1)) + "</Relationships>")
+        for i, df in enumerate(sheets.values(), 1):
+            rows = [df.columns, *df.limit(most).collect()]
+            body = "".join(f'<row r="{r}">{"".join(cell(r, k, v) for k, v in enumerate(row))}</row>' for r, row in enumerate(rows, 1))
+            view = '<sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" state="frozen"/></sheetView></sheetViews>'
+            z.writestr(f"xl/worksheets/sheet{i}.xml", f'{head}<worksheet xmlns="{main}">{view}<sheetData>{body}</sheetData><autoFilter ref="A1:{column(len(df.columns) - 1)}{len(rows)}"/></worksheet>')
