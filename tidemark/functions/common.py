@@ -30,5 +30,5 @@ def instant(c: Column | str) -> Column:
 
 
 def first_element(c: Column | str, sep: str = ";") -> Column:
-    """First element of a packed list; null where it is blank."""
-    return unblank(F.trim(F.substring_index(F.col(c) if isinstance(c, str) else c, sep, 1)))
+    """First element of a packed list as it stands; null where it is blank."""
+    return unblank(F.substring_index(F.col(c) if isinstance(c, str) else c, sep, 1))

@@ -83,7 +83,7 @@ def drive_references(items: DataFrame, drives: DataFrame, corpus: DataFrame) ->
     cur = current_rows(items, "parents")
     parents = cur.where(~F.col("trashed")).select(F.lit("inventory_items").alias("table_name"), F.col("listed_at").alias("at"), F.col("file_id").alias("row_key"), F.explode(F.split("parents", ";")).alias("ref"))
     both = corpus.select(F.lit("corpus_rows").alias("table_name"), F.col("sieved_at").alias("at"), F.col("file_id").alias("row_key"), F.explode(F.array("file_id", "canonical_file_id")).alias("ref"))
-    refs = parents.unionByName(both).withColumn("ref", F.trim("ref")).where(F.col("ref") != "")
+    refs = parents.unionByName(both).where(F.trim("ref") != "")
     ids = drives.select(F.col("drive_id").alias("ref")).where(F.col("ref").isNotNull()).distinct().withColumn("__drive", F.lit(True))
     # the roots are a fixed, short list (checked against MAX_HOT); past that they are joined by shuffle
     ids = F.broadcast(ids) if ids.limit(MAX_HOT + 1).count() <= MAX_HOT else ids

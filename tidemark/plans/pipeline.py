@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.common import first_element
 from ..operators import duplicates, hierarchy, rules, sieve, summaries
 from ..operators.references import current_rows
+from ..operators.skew import split_join
 from ..packs import DEFAULT
 from ..session import materialize
 from ..sources import sinks
@@ -25,10 +27,7 @@ def inventory(spark: SparkSession, folder: str) -> DataFrame:
     tree = hierarchy.resolve_hierarchy(hierarchy.folder_links(raw, drives), paths=True)
     folders = tree.select(F.col("file_id").alias("__up"), F.col("full_path").alias("__path"))
     roots = drives.select(F.col("drive_id").alias("__up"), F.concat(F.lit("/"), F.col("shared_drive_name")).alias("__path")).dropDuplicates(["__up"])
-    up = F.when(F.trim(F.substring_index("parents", ";", 1)) != "", F.trim(F.substring_index("parents", ";", 1)))
-    from ..operators.skew import split_join
-
-    placed = split_join(items.withColumn("__up", up), folders.unionByName(roots), "__up", "left")
+    placed = split_join(items.withColumn("__up", first_element("parents")), folders.unionByName(roots), "__up", "left")
     name = F.coalesce("name", F.lit(""))
     path = F.when(F.col("__path").isNotNull(), F.concat("__path", F.lit("/"), name)).when(F.col("__up").isNull(), F.concat(F.lit("/"), name)).otherwise(F.concat(F.lit("/Unmapped parent "), F.col("__up"), F.lit("/"), name))
     return placed.withColumnRenamed("full_path", "listed_path").withColumn("full_path", path).drop("__up", "__path")

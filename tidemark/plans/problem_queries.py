@@ -124,19 +124,19 @@ cur as (select * from (select *, row_number() over (partition by file_id order b
 _BROKEN = f"""
 with {_CURRENT},
 refs as (
-  select 'inventory_items' as table_name, listed_at as at, file_id as row_key, trim(unnest(string_split(parents, ';'))) as ref from cur where not coalesce(trashed, false)
-  union all select 'corpus_rows', sieved_at, file_id, trim(file_id) from corpus_rows
-  union all select 'corpus_rows', sieved_at, file_id, trim(canonical_file_id) from corpus_rows),
+  select 'inventory_items' as table_name, listed_at as at, file_id as row_key, unnest(string_split(parents, ';')) as ref from cur where not coalesce(trashed, false)
+  union all select 'corpus_rows', sieved_at, file_id, file_id from corpus_rows
+  union all select 'corpus_rows', sieved_at, file_id, canonical_file_id from corpus_rows),
 broken as (
   select distinct r.table_name, strftime(r.at, '%Y-%m') as period, r.row_key, r.ref as ref_key,
     case when c.file_id is null then 'missing' when coalesce(c.trashed, false) then 'deleted' when c.first_listed > r.at then 'late' end as reason
   from refs r left join cur c on c.file_id = r.ref
-  where r.ref <> '' and r.ref not in (select drive_id from shared_drives where drive_id is not null))
+  where trim(r.ref) <> '' and r.ref not in (select drive_id from shared_drives where drive_id is not null))
 """
 
 _TREE = f"""
 with recursive {_CURRENT},
-f as (select file_id, trim(split_part(coalesce(parents, ''), ';', 1)) as up, name from cur where object_kind = 'folder'),
+f as (select file_id, case when trim(split_part(parents, ';', 1)) <> '' then split_part(parents, ';', 1) end as up, name from cur where object_kind = 'folder'),
 l as (select f.file_id, f.name, case when d.drive_id is null and p.file_id is not null then f.up end as parent,
     case when d.drive_id is not null then f.up when p.file_id is null then f.file_id end as root,
     case when d.drive_id is not null then 1 else 0 end as step, coalesce('/' || d.shared_drive_name, '') as root_path
@@ -166,12 +166,12 @@ d as (
 
 SQL = {
     "p1_found": """
-      select 'inventory_items' as table_name, k as key_value from (select trim(split_part(parents, ';', 1)) as k, count(*) as n from inventory_items group by 1)
-      where k <> '' and n * 1000 >= 30 * (select count(*) from inventory_items)
+      select 'inventory_items' as table_name, k as key_value from (select split_part(parents, ';', 1) as k, count(*) as n from inventory_items group by 1)
+      where trim(k) <> '' and n * 1000 >= 30 * (select count(*) from inventory_items)
       union all select 'corpus_rows', duplicate_group_id from corpus_rows where trim(duplicate_group_id) <> ''
       group by duplicate_group_id having count(*) * 1000 >= 30 * (select count(*) from corpus_rows)""",
     "p1_folders": """
-      select case when trim(split_part(parents, ';', 1)) <> '' then trim(split_part(parents, ';', 1)) end as parent_id, count(*) as n_rows, count(distinct file_id) as n_objects,
+      select case when trim(split_part(parents, ';', 1)) <> '' then split_part(parents, ';', 1) end as parent_id, count(*) as n_rows, count(distinct file_id) as n_objects,
         cast(coalesce(sum(size), 0) as bigint) as total_size, coalesce(max(size), 0) as largest, count(*) filter (where trashed) as n_trashed, min(listed_at) as first_listed, max(listed_at) as last_listed
       from inventory_items group by 1""",
     "p1_groups": """
