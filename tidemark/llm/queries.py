@@ -89,7 +89,7 @@ _UNKNOWN = ", ".join(f"'{w}'" for w in survivor.UNKNOWN)
 def _filled(c: str) -> str:
     core = rf"regexp_replace(lower({c}), '[^\p{{L}}\p{{N}}]+', '', 'g')"
     rooted = rf" or coalesce(regexp_matches({c}, '^\s*/.*[\p{{L}}\p{{N}}]'), false)" if c == "path" else ""
-    return f"(coalesce(coalesce(trim({c}), '') <> '' and {core} <> '' and {core} not in ({_UNKNOWN}), false){rooted})"
+    return f"(coalesce(coalesce(trim({c}), '') <> '' and {core} <> '' and {core} not in ({_UNKNOWN}) and not regexp_matches({core}, '{survivor.UNKNOWN_START}'), false){rooted})"
 
 
 
