@@ -100,7 +100,8 @@ def look_alike_pairs(objects: DataFrame, forms: DataFrame) -> DataFrame:
     and parts meet parts, so a name that a third of all objects bear does not
     fill one task.
     """
-    many = forms.where(F.col("n_forms") > 1).select("class_id", "name", F.ceil(F.col("n") / MEMBERS).cast("int").alias("parts"))
+    # read three times below, and far fewer than all names
+    many = materialize(forms.where(F.col("n_forms") > 1).select("class_id", "name", F.ceil(F.col("n") / MEMBERS).cast("int").alias("parts")), "spellings")
     other = many.select("class_id", F.col("name").alias("name2"), F.col("parts").alias("parts2"))
     pairs = many.join(other, "class_id").where(F.col("name") < F.col("name2"))
     grid = pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("part2", F.explode(F.sequence(F.lit(0), F.col("parts2") - 1)))
