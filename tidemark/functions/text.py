@@ -35,10 +35,12 @@ def compat_form(c: C) -> Column:
 
     Composing base letters with combining marks is left to collations.
     """
-    c = F.translate(_c(c), *_compat())
+    one = F.translate(_c(c), *_compat())
+    many = one
     for a, b in _expansions():
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
+        many = F.replace(many, F.lit(a), F.lit(b))
+    # few texts have any of them, and one look is cheaper than a replacement for each
+    return F.when(one.rlike("[" + "".join(a for a, _ in _expansions()) + "]"), many).otherwise(one)
 
 
 def normalize_spaces(c: C) -> Column:

@@ -69,12 +69,13 @@ def groups(files: DataFrame, key: Column, prefix: str, order: tuple[str, ...] =
     return numbered.join(best, "__key").select(F.col("__key").alias("key"), F.format_string(prefix + "-%05d", "number").alias("group_id"), "n_rows", "n_files", "total_size", "canonical_id")
 
 
-def number(df: DataFrame, order: str, name: str = "number", parts: int = 16) -> DataFrame:
+def number(df: DataFrame, order: str, name: str = "number", parts: int | None = None) -> DataFrame:
     """Consecutive numbers from 1 in the order of one column of distinct values, without a single-task sort of all rows.
 
-    Rows are sorted by range into parts; each part numbers its own, and the
-    parts' counts, at most `parts` rows, shift them.
+    Rows are sorted by range into parts, as many as the session shuffles into;
+    each part numbers its own, and the parts' counts, one row a part, shift them.
     """
+    parts = parts or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     spread = df.repartitionByRange(parts, order).withColumn("__p", F.spark_partition_id())
     spread = materialize(spread, "number")
     sizes = spread.groupBy("__p").agg(F.count("*").alias("n"))

@@ -98,3 +98,14 @@ def descendants(tree: DataFrame) -> DataFrame:
     tree: resolve_hierarchy(..., paths=True). The result is as large as the sum of all depths.
     """
     return tree.select("file_id", F.posexplode("ancestors").alias("d", "ancestor")).select("ancestor", "file_id", (F.col("d") + 1).alias("distance"))
+
+
+def subtree(tree: DataFrame, roots: list[str]) -> DataFrame:
+    """The rows of `tree` (with ancestors) that are one of a few given folders or lie below one, each once."""
+    return tree.where(F.col("file_id").isin(roots) | F.coalesce(F.arrays_overlap("ancestors", F.array(*map(F.lit, roots))), F.lit(False)))
+
+
+def children(items: DataFrame) -> DataFrame:
+    """(parent, file_id): every object under every parent it names, blank ones left out."""
+    kids = items.select("file_id", F.explode(F.split("parents", ";")).alias("parent"))
+    return kids.where(F.trim("parent") != "").select("parent", "file_id").distinct()

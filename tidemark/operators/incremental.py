@@ -98,8 +98,8 @@ def descend(leaves: DataFrame) -> DataFrame:
 
 def changed_rows(rows: DataFrame, saved: DataFrame | None = None) -> DataFrame:
     """Rows of `rows` in leaves that differ between the run's tree and the one before it."""
-    # at most runs x LEAVES rows, by construction
-    leaves = tree_changes(rows, saved)
+    # at most runs x LEAVES rows, by construction; each level of the tree is built from them
+    leaves = materialize(tree_changes(rows, saved), "leaves")
     return with_leaf(rows).join(descend(leaves), ["run_id", "leaf"], "left_semi").drop("leaf")
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_name, words
+from ..session import materialize
 
 #: Factor of each source, in tenths. Paths go by the place of the segment instead.
 FACTORS = {"filename": 20, "sensitivity": 25, "media": 15, "cleanup": 20, "extension": 10}
@@ -210,7 +211,8 @@ def compare_strategies(rules: list[Rule], items: DataFrame) -> DataFrame:
         F.array(*(F.when(~_any([F.contains(norm, F.lit(t.lower())) for t in r.negative_tokens] + [raw.rlike(f"(?iuU){p}") for p in r.negative_patterns]) & _any([norm.rlike(boundary(t)) for t in r.tokens] + [raw.rlike(f"(?iuUm){p}") for p in r.patterns]), F.lit(r.rule_id)) for r in names))
     )
     fast = F.transform(F.filter("hits", lambda h: h["rule_id"].isin([r.rule_id for r in names])), lambda h: h["rule_id"])
-    both = score(rules, items).select("file_id", fast.alias("compiled"), slow.alias("full_scan"))
+    # written first: a filter over the two would evaluate both again
+    both = materialize(score(rules, items).select("file_id", fast.alias("compiled"), slow.alias("full_scan")), "strategies")
     return both.where(F.col("compiled") != F.col("full_scan"))
 
 

@@ -47,3 +47,16 @@ def action_list(rows: DataFrame) -> DataFrame:
     """(action, status, n, bytes) of a decided registry."""
     action = F.when(F.startswith("status", F.lit("KEEP")), "keep").when(F.startswith("status", F.lit("HOLD")), "review").otherwise("exclude")
     return rows.groupBy(action.alias("action"), "status").agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"))
+
+
+def metrics(rows: DataFrame) -> DataFrame:
+    """One row of totals of a decided registry: rows and bytes by action, and the share of rows left to process in whole per mille."""
+    starts = lambda p: F.startswith("status", F.lit(p))
+    size = F.coalesce(F.col("size"), F.lit(0))
+    total = lambda on: F.coalesce(F.sum(F.when(on, size)), F.lit(0))
+    kept = F.count_if(starts("KEEP"))
+    return rows.agg(
+        F.count("*").alias("n"), kept.alias("n_keep"), F.count_if(starts("HOLD")).alias("n_hold"), F.count_if(starts("REVIEW")).alias("n_review"), F.count_if(starts("EXCLUDE")).alias("n_exclude"), F.count_if(starts("SUPPRESS")).alias("n_suppress"),
+        total(F.lit(True)).alias("bytes"), total(starts("KEEP")).alias("bytes_keep"), F.count_distinct("status").alias("n_statuses"),
+        F.coalesce(F.floor(kept * 1000 / F.nullif(F.count("*"), F.lit(0))), F.lit(0)).cast("bigint").alias("keep_per_mille"),
+    )

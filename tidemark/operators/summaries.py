@@ -114,3 +114,38 @@ def assert_advisory(rows: DataFrame, column: str) -> DataFrame:
     """`rows`, which fail when read if a value of `column` recommends to change a source."""
     bad = F.upper(F.coalesce(F.col(column), F.lit(""))).rlike("^(" + "|".join(FORBIDDEN) + r")(_|$)")
     return rows.where(F.coalesce(F.assert_true(~bad, F.lit("forbidden recommendation")).cast("string"), F.lit("")) == "")
+
+
+def top_values(items: DataFrame, dimension: str, n: int = 20) -> DataFrame:
+    """The n commonest values of a dimension; ties by value. A report, hence the limit."""
+    return summary(items, dimension).select("value", "n").orderBy(F.desc("n"), "value").limit(n)
+
+
+def percentiles(items: DataFrame, by: str, value: str, points: tuple[int, ...] = (50, 90, 95, 99)) -> DataFrame:
+    """(by, n, p50, ...): values by nearest rank, nulls left out.
+
+    Exact without ordering a group in one task: equal values are counted
+    first, and only a group's distinct values are ranked by running count.
+    """
+    counts = items.where(F.col(value).isNotNull()).groupBy(F.coalesce(by, F.lit("")).alias(by), F.col(value).alias("__v")).agg(F.count("*").alias("__n"))
+    w = Window.partitionBy(by).orderBy("__v")
+    ranked = counts.withColumns({"__to": F.sum("__n").over(w), "__all": F.sum("__n").over(Window.partitionBy(by))})
+    need = lambda p: F.greatest(F.lit(1), F.ceil(F.col("__all") * p / 100))
+    return ranked.groupBy(by).agg(F.max("__all").alias("n"), *(F.min(F.when(F.col("__to") >= need(p), F.col("__v"))).alias(f"p{p}") for p in points))
+
+
+def report_views(classified: DataFrame) -> DataFrame:
+    """(view, n): the rows of each report's predicate, all in one pass over classified items."""
+    views: dict[str, Column] = {
+        "conflicts": F.size("conflict_fields") > 0,
+        "unknown": F.col("status") == "unknown",
+        "weak": F.col("status") == "weak",
+        "by_extension_only": F.col("status") == "by_extension_only",
+        "low_or_medium_path": F.col("path_confidence").isin("low", "medium"),
+        "sensitive": ~F.col("sensitivity").isin("", "unknown"),
+        "media": F.col("media") != "unknown",
+        "cleanup": F.col("cleanup") != "unknown",
+        "archive": F.col("lifecycle") == "archive",
+    }
+    one = classified.agg(*(F.count_if(F.coalesce(c, F.lit(False))).alias(v) for v, c in views.items()))
+    return one.unpivot([], list(views), "view", "n")

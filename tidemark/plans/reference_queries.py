@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.common import table
-from ..operators import content, duplicates, rules, sieve, summaries
+from ..operators import content, duplicates, hierarchy, rules, sieve, summaries
 from ..operators.references import current_rows
 from ..packs import DEFAULT
 from ..streaming import listing_stream
@@ -158,6 +158,32 @@ def sieve_summary(spark, sf_dir):
     return summaries.summary(_sieved(spark, sf_dir), "status", "extension", "department_suggestion")
 
 
+def sieve_metrics(spark, sf_dir):
+    return sieve.metrics(_sieved(spark, sf_dir))
+
+
+def top_types(spark, sf_dir):
+    return summaries.top_values(_items(spark, sf_dir), "mime_type", TOP)
+
+
+def size_percentiles(spark, sf_dir):
+    return summaries.percentiles(_items(spark, sf_dir), "extension", "size")
+
+
+def report_views(spark, sf_dir):
+    return summaries.report_views(rules.classify(RULES, _items(spark, sf_dir)))
+
+
+def folder_children(spark, sf_dir):
+    return hierarchy.children(_items(spark, sf_dir))
+
+
+def event_sessions(spark, sf_dir):
+    """Sessions of users with gaps below half an hour."""
+    s = listing_stream.sessions(table(spark, sf_dir, "events"), "ts", "user_id")
+    return s.select("user_id", F.date_format("session_start", "yyyy-MM-dd HH:mm:ss").alias("session_start"), "n")
+
+
 def summary_by_dimension(spark, sf_dir):
     return summaries.summary(_items(spark, sf_dir), "object_kind", "department_suggestion", "document_type_suggestion", "sensitivity_suggestion", "drive_id")
 
@@ -217,7 +243,7 @@ QUERIES = {
     for f in (
         name_forms, name_features, entities, text_profile, markup_text, path_forms, listing_table, rule_hits, rule_vote, rule_status, rule_match_summary, rule_performance, rule_strategies, rule_validation,
         content_matches, content_vote, content_conflicts, exact_groups, exact_members, version_groups, identifier_groups, duplicate_kinds, sieve_status, sieve_actions, sieve_summary,
-        summary_by_dimension, dimension_cube, quality_summary, access_coverage, folder_stats, largest_folders, content_cap, sample_plan, unit_rates, events_by_hour,
+        sieve_metrics, top_types, size_percentiles, report_views, folder_children, event_sessions, summary_by_dimension, dimension_cube, quality_summary, access_coverage, folder_stats, largest_folders, content_cap, sample_plan, unit_rates, events_by_hour,
     )
 }
 
@@ -452,6 +478,19 @@ SQL = {
     "sieve_status": f"{_SIEVE} select file_id, status, reason from s",
     "sieve_actions": f"{_SIEVE} select case when starts_with(status, 'KEEP') then 'keep' when starts_with(status, 'HOLD') then 'review' else 'exclude' end as action, status, count(*) as n, cast(coalesce(sum(size), 0) as bigint) as bytes from s group by 1, 2",
     "sieve_summary": f"{_SIEVE} {_summary_sql('s', ['status', 'extension', 'department_suggestion'])}",
+    "sieve_metrics": f"""{_SIEVE} select count(*) as n, count(*) filter (where starts_with(status, 'KEEP')) as n_keep, count(*) filter (where starts_with(status, 'HOLD')) as n_hold, count(*) filter (where starts_with(status, 'REVIEW')) as n_review,
+      count(*) filter (where starts_with(status, 'EXCLUDE')) as n_exclude, count(*) filter (where starts_with(status, 'SUPPRESS')) as n_suppress, cast(coalesce(sum(size), 0) as bigint) as bytes, cast(coalesce(sum(size) filter (where starts_with(status, 'KEEP')), 0) as bigint) as bytes_keep,
+      count(distinct status) as n_statuses, cast(coalesce(floor(count(*) filter (where starts_with(status, 'KEEP')) * 1000 / nullif(count(*), 0)), 0) as bigint) as keep_per_mille from s""",
+    "top_types": f"with {_CUR} select case when trim(mime_type) <> '' then mime_type else '(empty)' end as value, count(*) as n from cur group by 1 order by n desc, value limit {TOP}",
+    "size_percentiles": f"""with {_CUR}, x as (select coalesce(extension, '') as extension, size, row_number() over (partition by coalesce(extension, '') order by size) as k, count(*) over (partition by coalesce(extension, '')) as n from cur where size is not null)
+      select extension, max(n) as n, {", ".join(f"max(size) filter (where k = greatest(1, ceil(n * {p} / 100))) as p{p}" for p in (50, 90, 95, 99))} from x group by 1""",
+    "report_views": f"""{_votes_sql()}, z as (select v.*, c.path_confidence, case when v.conflict_fields <> '' then 'conflict' when path_confidence = 'high' then 'by_path' when filename_confidence = 'high' then 'by_name' when extension_confidence <> '' then 'by_extension_only' when n_hits > 0 then 'weak' else 'unknown' end as status
+      from conf c join voted v using (file_id)) """ + " union all ".join(f"select {_q(v)} as view, count(*) filter (where {c}) as n from z" for v, c in {"conflicts": "conflict_fields <> ''", "unknown": "status = 'unknown'", "weak": "status = 'weak'", "by_extension_only": "status = 'by_extension_only'",
+        "low_or_medium_path": "path_confidence in ('low', 'medium')", "sensitive": "sensitivity not in ('', 'unknown')", "media": "media <> 'unknown'", "cleanup": "cleanup <> 'unknown'", "archive": "lifecycle = 'archive'"}.items()),
+    "folder_children": f"with {_CUR} select distinct parent, file_id from (select file_id, unnest(string_split(parents, ';')) as parent from cur) where trim(parent) <> ''",
+    "event_sessions": """with a as (select user_id, ts, case when ts < lag(ts) over (partition by user_id order by ts) + interval 30 minutes then 0 else 1 end as opens from events),
+      b as (select user_id, ts, sum(opens) over (partition by user_id order by ts rows unbounded preceding) as s from a)
+      select user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') as session_start, count(*) as n from b group by user_id, s""",
     "summary_by_dimension": f"with {_CUR} {_summary_sql('cur', _DIMS)}",
     "dimension_cube": f"""with {_CUR}, x as (select object_kind, coalesce(sensitivity_suggestion, '(none)') as sensitivity from cur)
       select object_kind, sensitivity, cast(grouping_id(object_kind, sensitivity) as int) as grouping_set, count(*) as n from x group by cube (object_kind, sensitivity)""",
