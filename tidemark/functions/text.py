@@ -35,12 +35,15 @@ def compat_form(c: C) -> Column:
 
     Composing base letters with combining marks is left to collations.
     """
-    one = F.translate(_c(c), *_compat())
+    c = _c(c)
+    one = F.translate(c, *_compat())
     many = one
     for a, b in _expansions():
         many = F.replace(many, F.lit(a), F.lit(b))
     # few texts have any of them, and one look is cheaper than a replacement for each
-    return F.when(one.rlike("[" + "".join(a for a, _ in _expansions()) + "]"), many).otherwise(one)
+    other = F.when(one.rlike("[" + "".join(a for a, _ in _expansions()) + "]"), many).otherwise(one)
+    # neither block has any compatibility form, and most texts have nothing else
+    return F.when(c.rlike(r"^[\x00-\x7F\x{400}-\x{481}\x{48A}-\x{52F}]*+$"), c).otherwise(other)
 
 
 def normalize_spaces(c: C) -> Column:

@@ -24,6 +24,7 @@ from ..session import materialize
 FACTORS = {"filename": 20, "sensitivity": 25, "media": 15, "cleanup": 20, "extension": 10}
 SOURCES = ("path", "filename", "extension", "sensitivity", "media", "cleanup")
 HIGH, MEDIUM = 250, 80
+_SLASH = "\x01"
 
 
 @dataclass(frozen=True)
@@ -58,24 +59,30 @@ def _is_word(token: str) -> bool:
     return token.replace("_", "").isalnum()
 
 
-def matches_text(rule: Rule, norm: Column, raw: Column, word_list: Column) -> Column:
-    """Negatives first, then tokens, then patterns; Unicode and case-insensitive."""
+def matches_text(rule: Rule, norm: Column, raw: Column, found: Column) -> Column:
+    """Negatives first, then tokens, then patterns; Unicode and case-insensitive. `found`: the pack's words that the text has."""
     padded = F.concat(F.lit(" "), norm, F.lit(" "))
     veto = [F.contains(padded, F.lit(t.lower())) for t in rule.negative_tokens] + [raw.rlike(f"(?iuU){p}") for p in rule.negative_patterns]
-    single = [t.lower() for t in rule.tokens if _is_word(t)]
-    hit = ([F.arrays_overlap(word_list, F.array(*map(F.lit, single)))] if single else []) + [F.contains(padded, F.lit(t.lower())) for t in rule.tokens if not _is_word(t)] + [raw.rlike(f"(?iuUm){p}") for p in rule.patterns]
+    single = [F.array_contains(found, t.lower()) for t in rule.tokens if _is_word(t)]
+    hit = single + [F.contains(padded, F.lit(t.lower())) for t in rule.tokens if not _is_word(t)] + [raw.rlike(f"(?iuUm){p}") for p in rule.patterns]
     return ~_any(veto) & _any(hit) if veto else _any(hit)
 
 
+def _found(rules: list[Rule], word_list: Column) -> Column:
+    """Of a text's words those that any of the rules asks for; mostly none, which makes every rule's own test cheap."""
+    asked = sorted({t.lower() for r in rules for t in r.tokens if _is_word(t)})
+    return F.array_intersect(word_list, F.array(*map(F.lit, asked))) if asked else F.array().cast("array<string>")
+
+
 def matches_kind(rule: Rule, extension: Column, mime: Column) -> Column:
     return _any(([extension.isin(*(e.lower() for e in rule.extensions))] if rule.extensions else []) + [F.startswith(mime, F.lit(p)) for p in rule.mime_prefixes])
 
 
-def matches(rule: Rule, norm: Column, raw: Column, word_list: Column, extension: Column, mime: Column) -> Column:
+def matches(rule: Rule, norm: Column, raw: Column, found: Column, extension: Column, mime: Column) -> Column:
     """Both selectors must hold where a rule has both, else the one it has."""
     if rule.has_text and rule.has_kind:
-        return matches_text(rule, norm, raw, word_list) & matches_kind(rule, extension, mime)
-    return matches_kind(rule, extension, mime) if rule.has_kind else matches_text(rule, norm, raw, word_list)
+        return matches_text(rule, norm, raw, found) & matches_kind(rule, extension, mime)
+    return matches_kind(rule, extension, mime) if rule.has_kind else matches_text(rule, norm, raw, found)
 
 
 def depth_factor(i: Column, n: Column) -> Column:
@@ -86,7 +93,7 @@ def depth_factor(i: Column, n: Column) -> Column:
 def _segments(r: Rule) -> tuple[Column, Column]:
     """(whether a rule hits any path segment, its points over all that it hits)."""
     n = F.size("__psegs")
-    hit = lambda s: matches_text(r, s["norm"], s["raw"], s["words"])
+    hit = lambda s: matches_text(r, s["norm"], s["raw"], s["found"])
     at = F.transform("__psegs", lambda s, i: F.when(hit(s), depth_factor(i, n) * r.weight).otherwise(0))
     points = F.aggregate(at, F.lit(0), lambda a, x: a + x)
     return (points > 0 if r.weight > 0 else F.exists("__psegs", hit)), points
@@ -99,11 +106,19 @@ def score(rules: list[Rule], items: DataFrame, name: str = "name", path: str = "
     segments it hits, weighted by place. Null texts count as empty; a row
     without hits has an empty array. Helper columns are dropped again.
     """
-    text = F.coalesce(F.col(name), F.lit(""))
-    both = F.concat(F.coalesce(F.col(path), F.lit("")), F.lit(" "), text)
-    prepared = items.withColumns({"__raw": text, "__norm": normalize_name(text), "__both": both, "__bnorm": normalize_name(both), "__segs": F.filter(F.split(F.coalesce(F.col(path), F.lit("")), "/"), lambda s: s != ""), "__ext": F.coalesce(F.lower(F.col(extension)), F.lit("")), "__mime": F.coalesce(F.col(mime), F.lit(""))})
-    prepared = prepared.withColumns({"__words": F.array_distinct(words("__norm")), "__bwords": F.array_distinct(words("__bnorm")), "__psegs": F.transform("__segs", lambda s: F.struct(s.alias("raw"), normalize_name(s).alias("norm")))})
-    prepared = prepared.withColumn("__psegs", F.transform("__psegs", lambda s: F.struct(s["raw"].alias("raw"), s["norm"].alias("norm"), words(s["norm"]).alias("words"))))
+    # paths and names are brought to normal form once; a mark keeps the slashes of the path apart from characters that become one
+    raw_path, raw_name = F.coalesce(F.col(path), F.lit("")), F.coalesce(F.col(name), F.lit(""))
+    prepared = items.withColumns({"__raw": raw_name, "__path": raw_path, "__norm": normalize_name(raw_name), "__pnorm": normalize_name(F.translate(raw_path, "/" + _SLASH, _SLASH + " ")), "__ext": F.coalesce(F.lower(F.col(extension)), F.lit("")), "__mime": F.coalesce(F.col(mime), F.lit(""))})
+    wide = [r for r in rules if r.source in ("sensitivity", "media", "cleanup")]
+    prepared = prepared.withColumns(
+        {
+            "__both": F.concat("__path", F.lit(" "), "__raw"), "__bnorm": F.trim(F.concat_ws(" ", F.translate("__pnorm", _SLASH, "/"), "__norm")),
+            "__found": _found([r for r in rules if r.source == "filename" or r.source == "extension"], words("__norm")),
+            "__bfound": _found(wide, F.concat(words("__pnorm"), words("__norm"))),
+            "__psegs": F.filter(F.arrays_zip(F.split("__path", "/").alias("raw"), F.transform(F.split("__pnorm", _SLASH), F.trim).alias("norm")), lambda s: s["raw"] != ""),
+        }
+    )
+    prepared = prepared.withColumn("__psegs", F.transform("__psegs", lambda s: F.struct(s["raw"].alias("raw"), s["norm"].alias("norm"), _found([r for r in rules if r.source == "path"], words(s["norm"])).alias("found"))))
     hits = []
     for source in SOURCES:
         for r in (r for r in rules if r.source == source):
@@ -111,7 +126,7 @@ def score(rules: list[Rule], items: DataFrame, name: str = "name", path: str = "
                 on, points = _segments(r)
             else:
                 wide = source in ("sensitivity", "media", "cleanup")
-                on = matches(r, F.col("__bnorm" if wide else "__norm"), F.col("__both" if wide else "__raw"), F.col("__bwords" if wide else "__words"), F.col("__ext"), F.col("__mime"))
+                on = matches(r, F.col("__bnorm" if wide else "__norm"), F.col("__both" if wide else "__raw"), F.col("__bfound" if wide else "__found"), F.col("__ext"), F.col("__mime"))
                 points = F.lit(FACTORS[source] * r.weight)
             hits.append(F.when(on, F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(source).alias("source"), points.cast("int").alias("score"))))
     helper = [c for c in prepared.columns if c.startswith("__")]
