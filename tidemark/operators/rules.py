@@ -115,7 +115,7 @@ def score(rules: list[Rule], items: DataFrame, name: str = "name", path: str = "
             "__both": F.concat("__path", F.lit(" "), "__raw"), "__bnorm": F.trim(F.concat_ws(" ", F.translate("__pnorm", _SLASH, "/"), "__norm")),
             "__found": _found([r for r in rules if r.source == "filename" or r.source == "extension"], words("__norm")),
             "__bfound": _found(wide, F.concat(words("__pnorm"), words("__norm"))),
-            "__psegs": F.filter(F.arrays_zip(F.split("__path", "/").alias("raw"), F.transform(F.split("__pnorm", _SLASH), F.trim).alias("norm")), lambda s: s["raw"] != ""),
+            "__psegs": F.filter(F.arrays_zip(F.split("__path", "/").alias("raw"), F.transform(F.split("__pnorm", _SLASH), lambda s: F.trim(s)).alias("norm")), lambda s: s["raw"] != ""),
         }
     )
     prepared = prepared.withColumn("__psegs", F.transform("__psegs", lambda s: F.struct(s["raw"].alias("raw"), s["norm"].alias("norm"), _found([r for r in rules if r.source == "path"], words(s["norm"])).alias("found"))))
