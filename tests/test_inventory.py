@@ -162,3 +162,36 @@ def test_windows_and_sessions(spark):
     df = spark.createDataFrame([("a", "2025-01-01 00:10:00"), ("a", "2025-01-01 00:30:00"), ("a", "2025-01-01 05:00:00"), ("b", "2025-01-01 00:50:00")], "k string, t string").select("k", F.to_timestamp("t").alias("t"))
     assert sorted(r["n"] for r in listing_stream.windowed_counts(df, "t", "k").collect()) == [1, 1, 2]
     assert sorted(r["n"] for r in listing_stream.sessions(df, "t", "k").collect()) == [1, 1, 2]
+
+
+def test_first_seen_and_subtrees(spark, tmp_path):
+    from tidemark.operators import hierarchy
+
+    (tmp_path / "in").mkdir()
+    for i in range(2):
+        (tmp_path / "in" / f"{i}.json").write_text("\n".join(json.dumps({"id": x, "name": "n", "mimeType": ""}) for x in ("a", "b", "a")))
+    stream = listing_stream.listing_stream(spark, f"file://{tmp_path}/in").withColumn("at", F.lit("2025-01-01 00:00:00").cast("timestamp"))
+    seen = []
+    listing_stream.run_available(listing_stream.first_seen(stream, "at"), lambda df, n: seen.extend(r["file_id"] for r in df.collect()), f"file://{tmp_path}/cp")
+    assert sorted(seen) == ["a", "b"]
+    tree = spark.createDataFrame([("a", []), ("b", ["a"]), ("c", ["b", "a"]), ("x", []), ("l", None)], "file_id string, ancestors array<string>")
+    assert sorted(r["file_id"] for r in hierarchy.subtree(tree, ["b", "l"]).collect()) == ["b", "c", "l"]
+    kids = spark.createDataFrame([("f", "a;b; "), ("f", "a"), ("g", None)], "file_id string, parents string")
+    assert sorted(tuple(r) for r in hierarchy.children(kids).collect()) == [("a", "f"), ("b", "f")]
+
+
+def test_percentiles_by_nearest_rank(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, *range(20)])) for _ in range(300)]
+    got = {r["k"]: tuple(r)[1:] for r in S.percentiles(spark.createDataFrame(rows, "k string, v int"), "k", "v").collect()}
+    for k in ("a", "b", ""):
+        v = sorted(x for g, x in rows if (g or "") == k and x is not None)
+        assert got[k] == (len(v), *(v[max(1, -(-len(v) * p // 100)) - 1] for p in (50, 90, 95, 99)))
+
+
+def test_code_reaches_workers_that_lack_the_package(spark):
+    from tidemark.session import ship
+
+    ship(spark)
+    names = [p for p in spark.sparkContext._python_includes if p.startswith("code-")]
+    assert len(names) == 1

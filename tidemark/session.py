@@ -82,17 +82,23 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once a context, for functions that run in Python there."""
+    """Send this package to the executors, once a context, for functions that run in Python there. It goes through the shared folder."""
+    import io
     import zipfile
     from pathlib import Path
 
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
-    root = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="tidemark-code-")) / f"{root.name}.zip"
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+    root, packed = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, f"{root.name}/{p.relative_to(root)}")
-    sc.addPyFile(str(target))
+    target = f"{shared_folder(spark)}/tidemark/code-{uuid.uuid4().hex}.zip"
+    p = sc._jvm.org.apache.hadoop.fs.Path(target)
+    out = p.getFileSystem(sc._jsc.hadoopConfiguration()).create(p, True)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(target)
+    _written[target] = spark
     _shipped.add(sc.applicationId)
