@@ -77,7 +77,7 @@ def resolve_hierarchy(links: DataFrame, paths: bool = False) -> DataFrame:
     loop = None
     if open_now:
         ring = materialize(cur.where(F.col("root").isNull()).select("node", "ptr"), "ring")
-        n = 1
+        n = jump  # how far the pointers jump already
         while n < open_now:  # after as many jumps as there are nodes, every pointer has come to lie on a cycle, and every node of a cycle is one
             nxt = materialize(split_join(ring, ring.select(F.col("node").alias("ptr"), F.col("ptr").alias("__next")), "ptr", "inner").select("node", F.col("__next").alias("ptr")), "ring")
             release(ring)
