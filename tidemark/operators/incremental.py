@@ -23,8 +23,6 @@ FANOUT_BITS, LEVELS = 4, 3
 LEAVES = 1 << (FANOUT_BITS * LEVELS)
 MAX_RUNS = 100_000
 
-STATE = "file_id string, at timestamp, content string"
-SEEN = "file_id string, row_hash bigint"
 
 
 def batches(feed: DataFrame, run_log: DataFrame, after_run: int | None = None) -> DataFrame:

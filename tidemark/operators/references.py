@@ -16,9 +16,8 @@ from itertools import product
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import instant, is_blank, unblank  # noqa: F401
 from ..session import materialize
-from .skew import MAX_HOT, hot_keys, split_join
+from .skew import MAX_HOT, split_join
 
 
 def null_mask(columns: list[str]):

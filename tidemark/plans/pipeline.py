@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.common import first_element
-from ..operators import duplicates, hierarchy, rules, sieve, summaries
+from ..operators import duplicates, hierarchy, rules, summaries
 from ..operators.references import current_rows
 from ..operators.skew import split_join
 from ..packs import DEFAULT

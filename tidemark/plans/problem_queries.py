@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.common import first_element, instant, table, unblank
+from ..functions.common import first_element, table, unblank
 from ..operators import hierarchy, hot_keys, incremental, references, snapshots
 
 SHARE = 0.03
