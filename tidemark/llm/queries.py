@@ -25,8 +25,12 @@ def p2_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p2_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = _fusion(spark, sf_dir)
-    rows = [(s, float(a), float(f.trust.copies[i].max()) if len(f.sources) > 1 else 0.0) for i, (s, a) in enumerate(zip(f.sources, f.trust.accuracy))]
-    return spark.createDataFrame(rows, "source string, accuracy double, most_copied double")
+    pairs = f.copies.select("i", F.col("first").alias("c")).unionByName(f.copies.select(F.col("j").alias("i"), F.col("second").alias("c")))
+    most = pairs.groupBy(F.col("i").alias("id")).agg(F.max("c").alias("c"), F.count("*").alias("met"))
+    # of sources never met nothing is known but the prior
+    others = f.accuracy.count() - 1
+    unmet = F.when(F.coalesce("met", F.lit(0)) < others, survivor.PRIOR_COPY).otherwise(0.0)
+    return f.accuracy.join(most, "id", "left").select("source", "accuracy", F.greatest(F.coalesce("c", F.lit(0.0)), unmet).alias("most_copied"))
 
 
 def _names(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
