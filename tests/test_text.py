@@ -73,3 +73,14 @@ def test_words_are_unicode(spark):
     for _ in range(20):
         v = "".join(rng.choices(list("aЯ1_ .-é№"), k=12))
         assert one(spark, v, X.words("c"))[0] == re.findall(r"[^\W]+", v.replace("№", "."))
+
+
+def test_decomposed_names_are_those_of_their_composed_twins(spark):
+    names = ["Счёт 12 финал", "регламент копия й", "Акт приёмки", "Café №5…", "각 ㍿ ﷺ ⑽", "x\u0323\u0307"]
+    for name in names:
+        for form in ("NFD", "NFKD", "NFC"):
+            got = one(spark, unicodedata.normalize(form, name), X.normalize_name("c"), X.strip_version_markers("c"))
+            want = " ".join(unicodedata.normalize("NFKC", name).lower().replace("ё", "е").split())
+            assert got[0] == want
+            assert got[1] == one(spark, name, X.strip_version_markers("c"))[0]
+    assert one(spark, "Сче\u0308т 12 фина\u043b", X.strip_version_markers("c"))[0] == "счет 12"

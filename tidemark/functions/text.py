@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,8 +43,27 @@ def compat_form(c: C) -> Column:
         many = F.replace(many, F.lit(a), F.lit(b))
     # few texts have any of them, and one look is cheaper than a replacement for each
     other = F.when(one.rlike("[" + "".join(a for a, _ in _expansions()) + "]"), many).otherwise(one)
-    # neither block has any compatibility form, and most texts have nothing else
-    return F.when(c.rlike(r"^[\x00-\x7F\x{400}-\x{481}\x{48A}-\x{52F}]*+$"), c).otherwise(other)
+    return F.when(_plain(c), c).otherwise(other)
+
+
+def _plain(c: Column) -> Column:
+    """ASCII and composed Cyrillic: neither has any compatibility form, and most texts have nothing else."""
+    return c.rlike(r"^[\x00-\x7F\x{400}-\x{481}\x{48A}-\x{52F}]*+$")
+
+
+@lru_cache(maxsize=1)
+def _nfkc():
+    @F.pandas_udf("string")
+    def form(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+
+    return form
+
+
+def nfkc(c: C) -> Column:
+    """NFKC, combining marks composed. Only texts that are not plain are looked at in Python."""
+    c = _c(c)
+    return F.when(_plain(c), c).otherwise(_nfkc()(F.when(~_plain(c), c)))
 
 
 def normalize_spaces(c: C) -> Column:
@@ -52,8 +72,8 @@ def normalize_spaces(c: C) -> Column:
 
 
 def normalize_name(c: C) -> Column:
-    """Spaces, compatibility forms, lower case, ё as е, runs of _ and - as spaces."""
-    c = F.lower(compat_form(normalize_spaces(c)))
+    """Spaces, NFKC, lower case, ё as е, runs of _ and - as spaces."""
+    c = F.lower(nfkc(normalize_spaces(c)))
     return F.trim(F.regexp_replace(F.translate(c, "ё", "е"), r"(?U)[\s_\-]+", " "))
 
 
