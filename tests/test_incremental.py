@@ -1,5 +1,8 @@
 import datetime as dt
+import os
 import random
+import shutil
+from glob import glob
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,53 +50,137 @@ def random_case(seed):
     return feed, log
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+def pairs(df):
+    return sorted((r["run_id"], r["file_id"]) for r in df.collect())
+
+
+def frames(spark, feed, log):
+    return spark.createDataFrame(feed, FEED), spark.createDataFrame(log, LOG)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
 def test_cases_against_brute_force(spark, seed):
     feed, log = random_case(seed)
-    got = inc.changed_files(spark.createDataFrame(feed, FEED), spark.createDataFrame(log, LOG))
-    assert sorted((r["run_id"], r["file_id"]) for r in got.collect()) == brute(feed, log)
+    assert pairs(inc.changed_files(*frames(spark, feed, log))) == brute(feed, log)
 
 
-def test_empty_feed_and_log(spark):
-    feed, log = spark.createDataFrame([], FEED), spark.createDataFrame([], LOG)
+def test_empty_feed_and_log(spark, tmp_path):
+    feed, log = frames(spark, [], [])
     assert inc.changed_files(feed, log).count() == 0
     assert inc.changed_files(spark.createDataFrame([(1, 1, "a", None, None, "")], FEED), log).count() == 0
+    assert inc.IncrementalStore(spark, f"file://{tmp_path}/s").published().count() == 0
 
 
-def test_tree_opens_only_leaves_that_differ(spark):
-    day = "2025-01-01T00:00:00Z"
-    feed = [(i, 1, f"f{i}", day, "h", "") for i in range(200)] + [(1000 + i, 2, f"f{i}", day, "h", "") for i in range(200)] + [(5000, 2, "f7", "2025-02-01T00:00:00Z", "new", "")]
-    rows = inc.batches(spark.createDataFrame(feed, FEED), spark.createDataFrame([(1, "success"), (2, "success")], LOG))
-    opened = inc.changed_rows(rows).where("run_id = 2")
-    leaf = inc.with_leaf(rows.where("file_id = 'f7'")).first()["leaf"]
-    assert {r["leaf"] for r in inc.with_leaf(opened).collect()} == {leaf}
-    assert "f7" in {r["file_id"] for r in opened.collect()}
+DAY = "2025-01-01T00:00:00Z"
 
 
-def test_store_publishes_whole_versions_and_repeats_nothing(spark, tmp_path):
+def test_a_small_change_opens_only_its_leaf(spark, tmp_path):
+    feed = [(i, 1, f"f{i}", DAY, "h", "") for i in range(300)]
+    store = inc.IncrementalStore(spark, f"file://{tmp_path}/s", per_leaf=1)
+    assert store.process(*frames(spark, feed, [(1, "success")])).count() == 300
+    levels = store.current()["levels"]
+    assert levels == 2 and store.opened > 100
+    more = [*feed, (400, 2, "f7", "2025-02-01T00:00:00Z", "new", "")]
+    out = store.process(*frames(spark, more, [(1, "success"), (2, "success")]))
+    assert [(r["run_id"], r["file_id"], r["op"]) for r in out.collect()] == [(2, "f7", "new")]
+    assert store.opened == 1 and store.pages_read == 1
+    # the call wrote one page; the tree refers to the first version for all others
+    version = store.current()["version"]
+    assert len(glob(f"{tmp_path}/s/{version}/pages/leaf=*")) == 1
+    assert store.published().count() == 301
+    # nothing new: nothing is opened, nothing published
+    number = store.current()["number"]
+    assert store.process(*frames(spark, random.sample(more, len(more)), [(1, "success"), (2, "success")])).count() == 0
+    assert store.opened == 0 and store.current()["number"] == number
+
+
+def test_late_rows_of_old_runs_are_found_and_nothing_is_repeated(spark, tmp_path):
     feed, log = random_case(9)
     feed = [r for r in feed if r[1] <= 12]
-    store = inc.IncrementalStore(spark, f"file://{tmp_path}/store")
-    seen = []
-    for call, upto in enumerate((4, 4, 9, 12)):
-        f = spark.createDataFrame([r for r in feed if r[1] <= upto], FEED)
-        out = store.process(f, spark.createDataFrame([r for r in log if r[0] <= upto], LOG))
-        seen += [(r["run_id"], r["file_id"]) for r in out.collect()]
+    random.Random(3).shuffle(feed)  # rows come in any order of runs
+    store = inc.IncrementalStore(spark, f"file://{tmp_path}/store", per_leaf=40)
+    held = {}
+    for call, n in enumerate((150, 150, 330, len(feed))):
+        out = store.process(*frames(spark, feed[:n], log)).collect()
+        for r in out:
+            key, row = (r["run_id"], r["file_id"]), (r["at"], r["content"])
+            assert (key in held) == (r["op"] != "new")
+            held.pop(key) if r["op"] == "withdrawn" else held.update({key: row})
+        assert call != 1 or not out
         # a call that dies leaves folders behind, which no one points to
         spark.range(1).write.parquet(f"file://{tmp_path}/store/v-dead{call}/output")
-    assert sorted(seen) == brute(feed, log)
-    tree, state = store.read("tree"), store.read("seen")
-    want = inc.with_leaf(state).groupBy("leaf").agg(F.count("*").alias("n")).agg(F.sum("n")).first()[0]
-    assert tree.agg(F.sum("keys")).first()[0] == want
+        assert sorted(held) == brute(feed[:n], log) == pairs(store.published())
+    store.vacuum()
+    assert sorted(held) == pairs(store.published())
+
+
+def test_a_deeper_tree_takes_over(spark, tmp_path):
+    feed = [(i, 1 + i % 3, f"f{i % 60}", DAY, f"h{i}", "") for i in range(200)]
+    log = [(r, "success") for r in (1, 2, 3)]
+    store = inc.IncrementalStore(spark, f"file://{tmp_path}/s", per_leaf=1)
+    store.process(*frames(spark, feed[:10], log))
+    first = store.current()["levels"]
+    store.process(*frames(spark, feed, log))
+    assert store.current()["levels"] > first
+    assert pairs(store.published()) == brute(feed, log)
+
+
+def _damage(how, folder, version):
+    tree = glob(f"{folder}/{version}/tree/*.parquet")
+    if how == "tree deleted":
+        shutil.rmtree(f"{folder}/{version}/tree")
+    elif how == "tree changed":
+        import pyarrow.parquet as pq
+
+        for f in tree:
+            t = pq.read_table(f)
+            i = t.schema.get_field_index("digest")
+            if len(t):
+                pq.write_table(t.set_column(i, t.schema.field(i), t.column(i).combine_chunks().take([*range(len(t))][::-1])), f)
+                for crc in glob(os.path.join(os.path.dirname(f), ".*.crc")):
+                    os.remove(crc)
+    else:
+        for d in glob(f"{folder}/{version}/pages/leaf=*"):
+            shutil.rmtree(d)
+
+
+@pytest.mark.parametrize("how", ["tree deleted", "tree changed", "pages deleted"])
+def test_what_was_saved_is_checked(spark, tmp_path, how):
+    feed = [(i, 1, f"f{i}", DAY, "h", "") for i in range(60)]
+    store = inc.IncrementalStore(spark, f"file://{tmp_path}/s", per_leaf=4)
+    store.process(*frames(spark, feed, [(1, "success")]))
+    _damage(how, f"{tmp_path}/s", store.current()["version"])
+    more = [*feed, (99, 2, "f1", "2025-03-01T00:00:00Z", "n", "")]
+    with pytest.raises(inc.DamagedStore):
+        store.process(*frames(spark, more, [(1, "success"), (2, "success")]))
 
 
 def test_a_failed_call_is_done_again(spark, tmp_path, monkeypatch):
     feed, log = random_case(4)
     store = inc.IncrementalStore(spark, f"file://{tmp_path}/s")
-    f, g = spark.createDataFrame(feed, FEED), spark.createDataFrame(log, LOG)
+    f, g = frames(spark, feed, log)
     monkeypatch.setattr(inc.IncrementalStore, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(RuntimeError):
         store.process(f, g)
     monkeypatch.undo()
     assert store.current() is None
-    assert sorted((r["run_id"], r["file_id"]) for r in store.process(f, g).collect()) == brute(feed, log)
+    # a pointer that was not written whole does not count, and its number is not used again
+    os.makedirs(f"{tmp_path}/s", exist_ok=True)
+    with open(f"{tmp_path}/s/pointer-{1:012d}", "w") as torn:
+        torn.write('{"version"')
+    assert store.current() is None
+    assert pairs(store.process(f, g)) == brute(feed, log)
+    assert store.current()["number"] == 2
+    with pytest.raises(RuntimeError):
+        store._publish({"number": 2})
+
+
+def test_digests_do_not_depend_on_order(spark):
+    feed, log = random_case(5)
+    trees = []
+    for rows in (feed, feed[::-1]):
+        leaves = inc.leaf_digests(inc.with_leaf(inc.delivered(*frames(spark, rows, log)), 2))
+        trees.append(sorted(inc.grow(leaves, 2).collect()))
+    assert trees[0] == trees[1]
+    assert inc.broken_nodes(inc.grow(leaves, 2), 2).count() == 0
+    assert leaves.agg(F.sum("n_rows")).first()[0] == trees[0][0]["n_rows"]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.common import first_element, table, unblank
 from ..operators import hierarchy, hot_keys, incremental, references, snapshots
+from ..session import forget_later, shared_folder
 
 SHARE = 0.03
 
@@ -55,6 +58,20 @@ def p4_per_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cases.groupBy("run_id").agg(F.count("*").alias("n_cases"), F.count("content").alias("n_with_content"))
 
 
+#: Runs after which p4_incremental calls the store; what a call does not see yet is delivered to the next.
+CALLS = (12, 13, 30)
+
+
+def p4_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same cases, found in several calls on one store, each with the feed as it stood."""
+    feed, log = table(spark, sf_dir, "listing_feed"), table(spark, sf_dir, "run_log")
+    store = incremental.IncrementalStore(spark, forget_later(spark, f"{shared_folder(spark)}/tidemark/store-{uuid.uuid4().hex}"))
+    for upto in CALLS:
+        store.process(feed.where(F.col("run_id") <= upto), log.where(F.col("run_id") <= upto))
+    store.process(feed, log)
+    return store.published().select("run_id", "file_id")
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return (
         table(spark, sf_dir, "inventory_items", "file_id", "parents", "trashed", "listed_at"),
@@ -94,7 +111,7 @@ def p7_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_found(spark, sf_dir).groupBy("snapshot_no").pivot("change", ["added", "changed", "removed"]).agg(F.count(F.lit(1))).na.fill(0)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_folders, p1_groups, p4_found, p4_per_run, p5_found, p5_report, p6_found, p6_paths, p6_descendants, p7_found, p7_summary)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_folders, p1_groups, p4_found, p4_per_run, p4_incremental, p5_found, p5_report, p6_found, p6_paths, p6_descendants, p7_found, p7_summary)}
 
 _FEED = """
 good as (select distinct run_id from run_log where lower(trim(status)) = 'success' and run_id is not null),
@@ -179,6 +196,7 @@ SQL = {
         cast(coalesce(sum(try_cast(size_bytes as bigint)), 0) as bigint) as total_size, count(*) filter (where lower(needs_review) = 'true') as n_review, min(sieved_at) as first_sieved, max(sieved_at) as last_sieved
       from corpus_rows group by 1""",
     "p4_found": f"with recursive {_FEED} select run_id, file_id from fold where hit",
+    "p4_incremental": f"with recursive {_FEED} select run_id, file_id from fold where hit",
     "p4_per_run": f"with recursive {_FEED} select run_id, count(*) as n_cases, count(lh) as n_with_content from fold where hit group by run_id",
     "p5_found": f"{_BROKEN} select * from broken where reason is not null",
     "p5_report": f"{_BROKEN} select table_name, period, reason, count(*) as n_refs, count(distinct ref_key) as n_targets from broken where reason is not null group by 1, 2, 3",

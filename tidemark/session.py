@@ -61,6 +61,12 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     return out
 
 
+def forget_later(spark: SparkSession, path: str) -> str:
+    """`path`, which is removed when the driver ends."""
+    _written[path] = spark
+    return path
+
+
 def release(df: DataFrame) -> None:
     """Remove what materialize() wrote, once nothing that is still to run reads it."""
     path = getattr(df, "_tidemark_path", None)
