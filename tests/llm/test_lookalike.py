@@ -12,8 +12,17 @@ SAME = [
     ["Клей", "Клей", "Kлей"],
     ["План ёлки", "План ёлки", "План ëлки"],
     ["ﬁle-1", "file‑1", "file‐1"],
+    ["good", "ɡood", "gооd"],
+    ["2-1", "2−1"],
+    ["a/b", "a⁄b"],
+    ["x,y", "x‚y"],
+    ["Report IV", "Report Ⅳ"],
+    ["アイ", "ｱｲ"],
+    ["S1", "Տ1", "Ѕ1"],
+    ["Totals...", "Totals…"],
+    ["Πr", "Пr"],
 ]
-OTHER = ["Cafe menu", "Клеи", "Договор 13.pdf", "договор 12.pdf", "План елки", "file_1", "", "Договор12.pdf", "readme.txt"]
+OTHER = ["Cafe menu", "Клеи", "Договор 13.pdf", "договор 12.pdf", "План елки", "file_1", "", "Договор12.pdf", "readme.txt", "No 5", "№ 5", "2–1", "m2", "m²", "Il1", "lI1", "1l", "30", "З0", "ґ", "r", "г", "土", "士", "nr", "пr", "x2", "×2"]
 
 
 def test_pairs_and_visible_differences(spark):
@@ -26,6 +35,25 @@ def test_pairs_and_visible_differences(spark):
     assert got == want
 
 
+def test_links_count_what_the_pairs_list(spark):
+    rows = [(f"{i}-{k}", n) for i, n in enumerate(n for group in SAME for n in group) for k in range(1 + i % 3)] + [("null", None), ("z", "alone")]
+    objects = spark.createDataFrame(rows, "file_id string, name string")
+    forms = L.classes(objects)
+    pairs = [tuple(r) for r in L.look_alike_pairs(objects, forms).collect()]
+    got = {r["file_id"]: r["n_links"] for r in L.links(objects, forms).collect()}
+    assert got == {i: sum(i in p for p in pairs) for i, _ in rows}
+
+
+def test_table_is_made_from_public_data():
+    assert len(L.confusables()) > 6000 and L.skeleton("раураӏ Ⅰ օ") == "paypai l o"
+    table = L._table()
+    assert not any(c < "\x7f" for c in table)
+    # no two letters of one alphabet become one
+    for alphabet in ("абвгдежзийклмнопрстуфхцчшщъыьэюяё", "αβγδεζηθικλμνξοπρστυφχψω"):
+        for letters in (alphabet, alphabet.upper()):
+            assert len({table.get(c, c) for c in letters}) == len(letters)
+
+
 def test_canonical_form_is_one_per_class_and_a_member(spark):
     rows = [(str(i), n) for i, n in enumerate(n for group in SAME for n in group)] + [("z", None)]
     objects = spark.createDataFrame(rows, "file_id string, name string")

@@ -1,6 +1,7 @@
 """Visually identical text with different characters (problem 3).
 
-Characters are first mapped to the one they look like. What still differs only
+Characters are first mapped to the one they look like, by a table made from
+public Unicode data with a rule for what is seen as different. What still differs only
 in ways the eye cannot see (composed or combining accents, characters without
 width) is equal under the Unicode collation of Spark, which is sensitive to
 accents and case. Names are grouped by the mapped text under that collation;
@@ -9,7 +10,12 @@ the class's canonical member is chosen by rule and joined back.
 
 from __future__ import annotations
 
+import os
+import struct
 import unicodedata
+import zipfile
+from functools import lru_cache
+from glob import glob
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,31 +25,112 @@ from ..session import materialize
 
 COLLATION = "UNICODE"
 
-# fixed values: letters of Cyrillic and Greek that look like a Latin letter, by pairs
-_LETTERS = (
-    "АA ВB ЕE КK МM НH ОO РP СC ТT ХX ЅS ІI ЈJ ҮY ԚQ ԜW ЁË ЇÏ "
-    "аa еe оo рp сc уy хx ѕs іi јj һh ԁd ԛq ԝw ёë їï ҽe ӏl "
-    "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX οo νv ϲc ϳj ϹC ͿJ αa ιi ρp "
-    "УY ΪÏ ΫŸ"
-).split()
-# fixed values: hyphens and minus-like bars of one width, quotes and apostrophes of one shape
-_MARKS = ["‐-", "‑-", "﹣-", "’'", "‘'", "ʼ'", "′'", "＇'", "“\"", "”\"", "˗-"]
+# fixed values: letters that look like a Latin one although their other case does not, so that the rule below leaves them out
+_EXTRA = "νv һh ҽe ԁd ԛq ԜW ԝw ɡg ӏl ιi ʼ' ˗-".split()
+#: Marks that are told from their look-alike by their width or slant.
+_VISIBLE = "‒–—―﹘⁃⁓`´ˊˋ΄᾽᾿῾´῀"
+_LETTER = ("Lu", "Ll", "Lt", "Lo")
 
 
+@lru_cache(maxsize=1)
+def confusables() -> dict[str, str]:
+    """Character -> what it may be confused with, as published by Unicode: the table of the ICU library that Spark ships.
+
+    Its format: a header whose size is its first 16-bit number; then the
+    offsets of keys (code point in 24 bits, length of the target less one in
+    8), of 16-bit values (the target, or its place in the strings) and of the
+    strings. Read on the driver; a Spark without the library has an empty table.
+    """
+    import pyspark
+
+    homes = [os.environ.get("SPARK_HOME", ""), os.path.dirname(pyspark.__file__)]
+    jars = [j for h in homes if h for j in sorted(glob(os.path.join(h, "jars", "icu4j-*.jar")))]
+    if not jars:
+        return {}
+    with zipfile.ZipFile(jars[0]) as z:
+        data = z.read(next(n for n in z.namelist() if n.endswith("/confusables.cfu")))
+    data = data[struct.unpack_from(">H", data)[0] :]
+    keys_at, n_keys, values_at, n_values, strings_at, n_strings = struct.unpack_from(">6i", data, 12)
+    keys, values = struct.unpack_from(f">{n_keys}I", data, keys_at), struct.unpack_from(f">{n_values}H", data, values_at)
+    strings, out = data[strings_at : strings_at + 2 * n_strings], {}
+    for key, value in zip(keys, values):
+        length = (key >> 24) + 1
+        out[chr(key & 0xFFFFFF)] = chr(value) if length == 1 else strings[2 * value : 2 * (value + length)].decode("utf-16-be")
+    return out
+
+
+def skeleton(text: str) -> str:
+    """What the text has in common with all texts it may be confused with."""
+    table = confusables()
+    return unicodedata.normalize("NFD", "".join(table.get(c, c) for c in unicodedata.normalize("NFD", text)))
+
+
+def _script(c: str) -> str:
+    """The script of a letter, by the first word of its name."""
+    return unicodedata.name(c, "").partition(" ")[0]
+
+
+def _alike(a: str, b: str) -> bool:
+    """Whether two characters of one skeleton are seen as one: not where case, kind or value differ.
+
+    Letters must come from different scripts, as two letters of one are
+    different letters; of small letters the capitals must look alike too (г
+    and r have one skeleton, Г and R have not); digits must have one value.
+    """
+    ka, kb = unicodedata.category(a), unicodedata.category(b)
+    if ka in _LETTER or kb in _LETTER:
+        if _script(a) == _script(b) or (ka == "Ll" and kb == "Ll" and skeleton(a.upper()) != skeleton(b.upper())):
+            return False
+        return ka == kb or (ka == "Lo" and kb == "Lu" and skeleton(a) == b)
+    if ka == "Nd" or kb == "Nd":
+        return ka == kb and unicodedata.digit(a) == unicodedata.digit(b)
+    return (ka[0] == "P" or ka == "Sm") and kb[0] in "PS" and a not in _VISIBLE
+
+
+@lru_cache(maxsize=1)
+def _table() -> dict[str, str]:
+    """Character -> the one or more it looks like, by rule from Unicode: forms of width and font, compatibility forms of one look, and confusables that are alike."""
+    plain: dict[str, list[str]] = {}
+    for c in map(chr, range(0x21, 0x7F)):
+        plain.setdefault(skeleton(c), []).append(c)
+    out = {p[0]: p[1:] for p in _EXTRA}
+    for i in (*range(0xA0, 0xD800), *range(0xF900, 0x20000)):
+        c = chr(i)
+        form, kind = unicodedata.normalize("NFKC", c), unicodedata.decomposition(c).partition(" ")[0]
+        if kind in ("<wide>", "<narrow>", "<font>", "<noBreak>") and form != c:
+            out[c] = "".join(out.get(x, x) for x in form)
+        elif kind == "<compat>" and skeleton(form) == skeleton(c) and not form.isspace() and unicodedata.category(c)[0] not in "SZ" and unicodedata.category(c) not in ("No", "Lm") and skeleton(c) not in plain:
+            out[c] = form  # ligatures and Roman numerals, not signs such as №
+        elif c not in out and c in confusables():
+            alike = [t for t in plain.get(skeleton(c), ()) if _alike(c, t) or (kind == "<compat>" and form == t)]
+            proto = skeleton(c)
+            if alike:
+                out[c] = alike[0]
+            elif len(proto) == 1 and proto > "~" and unicodedata.category(c) == unicodedata.category(proto) and unicodedata.category(c) in ("Lu", "Lo") and _alike(c, proto):
+                out[c] = proto
+    # letters with an accent go by the letter without it
+    for i in (*range(0xA0, 0xD800), *range(0xF900, 0x20000)):
+        parts = unicodedata.normalize("NFD", chr(i))
+        if chr(i) not in out and len(parts) > 1 and parts[0] in out and len(out[parts[0]]) == 1:
+            whole = unicodedata.normalize("NFC", out[parts[0]] + parts[1:])
+            if len(whole) == 1:
+                out[chr(i)] = whole
+    return {a: b for a, b in out.items() if a != b and unicodedata.normalize("NFC", a) != b}
+
+
+@lru_cache(maxsize=1)
 def _map() -> tuple[str, str]:
-    """Characters and what each looks like: the lists above, and compatibility forms of one character by rule."""
-    pairs = {p[0]: p[1:] for p in _LETTERS + _MARKS}
-    for block in ((0xFF01, 0xFF5E), (0x1D400, 0x1D7FF)):  # full-width forms, mathematical letters
-        for i in range(block[0], block[1] + 1):
-            to = unicodedata.normalize("NFKC", chr(i))
-            if len(to) == 1 and to != chr(i):
-                pairs[chr(i)] = pairs.get(to, to)
-    bmp = {k: v for k, v in pairs.items() if len(v) == 1}
-    return "".join(bmp), "".join(bmp.values())
-
-
-#: Ligatures stand for their letters.
-_LIGATURES = {chr(i): unicodedata.normalize("NFKC", chr(i)) for i in range(0xFB00, 0xFB07)} | {"ǆ": "dž", "ǉ": "lj", "ǌ": "nj", "…": "..."}
+    """Characters that look like one other of the basic plane, and those."""
+    one = {a: b for a, b in _table().items() if len(b) == 1 and ord(b) < 0x10000}
+    return "".join(one), "".join(one.values())
+
+
+@lru_cache(maxsize=1)
+def _several() -> dict[str, str]:
+    """Characters that look like several, such as ligatures and Roman numerals."""
+    return {a: b for a, b in _table().items() if len(b) > 1 and len(b) < 6 and ord(a) < 0x10000}
+
+
 #: Characters without width or colour of their own.
 INVISIBLE = r"[\p{Cf}\p{Cc}͏ᅟᅠ឴឵᠋-᠏ㅤ︀-️ﾠ&&[^\t\n\r]]|[\x{E0100}-\x{E01EF}]"
 #: Spaces of any kind, which are seen only between words.
@@ -54,11 +141,12 @@ def looks_like(c: Column | str) -> Column:
     """The text as the eye reads it: look-alikes mapped, the invisible removed, spaces one and none at the ends. Null stays null."""
     c = F.col(c) if isinstance(c, str) else c
     c = F.trim(F.regexp_replace(F.regexp_replace(c, INVISIBLE, ""), SPACES, " "))
-    old, new = _map()
-    c = F.translate(c, old, new)
-    for a, b in _LIGATURES.items():
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
+    one = F.translate(c, *_map())
+    many = one
+    for a, b in _several().items():
+        many = F.replace(many, F.lit(a), F.lit(b))
+    # few texts have any of them, and one look is cheaper than a replacement for each
+    return F.when(one.rlike("[" + "".join(f"\\x{{{ord(a):X}}}" for a in _several()) + "]"), many).otherwise(one) if _several() else one
 
 
 def classes(names: DataFrame, name: str = "name") -> DataFrame:
@@ -112,6 +200,15 @@ def look_alike_pairs(objects: DataFrame, forms: DataFrame) -> DataFrame:
     return a.join(b, ["name2", "part2"]).select(F.least("a", "b").alias("file_id_a"), F.greatest("a", "b").alias("file_id_b"))
 
 
+def links(objects: DataFrame, forms: DataFrame) -> DataFrame:
+    """(file_id, class_id, n_links): of each object the number of those whose name looks the same and is written differently.
+
+    The same result as the pairs, one row an object. Null names have no class and no links.
+    """
+    sized = forms.select("name", "class_id", "n").join(forms.groupBy("class_id").agg(F.sum("n").alias("all")), "class_id")
+    return split_join(objects, sized, "name", "left").select("file_id", F.col("class_id"), F.coalesce(F.col("all") - F.col("n"), F.lit(0)).alias("n_links"))
+
+
 def canonical_names(objects: DataFrame, forms: DataFrame) -> DataFrame:
     """(file_id, name, canonical_name): one consistent form of each object's name; null names keep null."""
     return split_join(objects, forms.select("name", F.col("canonical").alias("canonical_name")), "name", "left").select("file_id", "name", "canonical_name")
