@@ -1,17 +1,22 @@
 """Template residue, filler and error pages in texts (problem 10).
 
-Placeholders are found by a grammar for each kind of delimiter. A placeholder
-does not count where the text talks about it: in a code block, or quoted in a
-sentence about templates, unless such placeholders are dense. A text is an
-error page if hardly anything but a title is left once the sentences of errors
-and notices are taken away.
+Placeholders are found by a grammar for each kind of delimiter. Where the
+delimiter has other uses too, what it holds must look like a field: a
+vocabulary of fields, or the shape of an identifier. A placeholder does not
+count where the text talks about it: in a code block, quoted in a sentence
+about templates, or in technical prose, unless such placeholders are dense. A
+text is an error page if hardly anything but a title is left once errors and
+the sentences that consist of the usual words of errors and notices are taken
+away; that is judged by structure and shares of words, not by whole sentences.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from http import HTTPStatus
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,43 +25,56 @@ from ..session import ship
 
 #: Words besides errors and notices that a title or menu may have.
 TITLE_WORDS = 9
+#: Share of a sentence's words, words of grammar aside, that must be usual ones of errors and notices.
+USUAL_SHARE = 0.65
 #: Placeholders for each hundred words from which a text that talks about templates counts all the same.
 DENSITY = 20.0
 
 # a field's name: words that begin with a letter, joined by spaces, dots, hyphens or underscores, or broken over two lines
 _NAME = r"[^\W\d][\w]*(?:(?:[ ._\-]{1,2}|-? ?\r?\n ?)\w+){0,6}"
-_FILTER = r"(?:\s*\|[^\[\]{}<>\n]{0,40})?"
 _ASK = r"(?:insert|enter|specify|fill in|add|type|your|указать|укажите|вставить|вставьте|вписать|впишите|ввести|введите|заполнить|заполните|подставить|ваш[аие]?)"
 _CITE = r"(?:см|прим|ред|цит|рис|табл|стр|гл|там же|см\.|sic|see|cf|note|fig|ibid|p|pp|ed|edit|edited|emphasis|citation|quote|image|photo|video|audio|link|file|фото|видео|файл|подпись|печать|signature|signed|stamp|sealed|redacted|inaudible|laughter|смех|неразборчиво)"
 # fixed values: element names of HTML that stand alone in angle brackets, and frames of a stack trace
 _MARKUP = "a abbr address article aside audio b base blockquote body br button canvas caption cite code col dd del details div dl dt em embed fieldset figure footer form h1 h2 h3 h4 h5 h6 head header hr html i iframe img input ins kbd label legend li link main map mark meta nav object ol option p param pre q s samp script section select small source span strike strong style sub summary sup svg table tbody td template textarea tfoot th thead time title tr tt u ul var video wbr module lambda listcomp genexpr string stdin bos eos pad unk cls sep mask".split()
-
-#: (characters the text must have, grammar) by kind of delimiter.
-PLACEHOLDERS: list[tuple[str, str]] = [
-    ("{{", rf"\{{\{{\{{?[#/^&>]?\s*{_NAME}(?:\s*\|[^{{}}\n]{{0,40}})?\s*\}}\}}"),
-    ("{%", rf"\{{%-?\s*{_NAME}[^{{}}%\n]{{0,40}}-?%\}}"),
-    ("${", rf"\$\{{\s*{_NAME}\s*(?::[^{{}}\n]{{0,30}})?\}}"),
-    ("{", rf"\{{(?<![\w{{$%#\\:]\{{)\s*{_NAME}\s*\}}(?!\}})"),
-    ("[[", rf"\[\[\s*{_NAME}{_FILTER}\s*\]\]"),
-    ("[", rf"\[(?<![\[\w\]]\[)(?!{_CITE}\b){_NAME}\](?![\[(\]])(?<!\d\])"),
-    ("[", rf"\[{_ASK}\b[^\[\]\n]{{1,60}}\]"),
-    ("(", rf"\((?:{_ASK})\s*:\s*[^()\n]{{1,60}}\)|\((?:insert|enter|type)\s[^()\n]{{1,60}}?\shere\)|\((?:вставить|вписать|указать)\s[^()\n]{{1,60}}?\s(?:здесь|сюда)\)"),
-    ("<<", rf"<<\s*{_NAME}\s*>>"),
-    ("<", rf"<(?:TODO|FIXME|TBD|XXX)\b[^<>\n]{{0,60}}>"),
-    ("<", rf"<(?!/)(?!(?:{'|'.join(_MARKUP)})\b){_NAME}>(?!>)"),
-    ("<?", rf"<\?(?:=|php|php echo)?\s*\$?{_NAME}\s*;?\s*\?>"),
-    ("<%", rf"<%[=\-]?\s*{_NAME}\s*-?%>"),
-    ("&lt;", rf"&lt;(?!/)(?!(?:{'|'.join(_MARKUP)})\b){_NAME}&gt;"),
-    ("@@", rf"@@{_NAME}@@"),
-    ("%(", rf"%\({_NAME}\)[sdfr]"),
-    ("%", rf"%(?<![\w%]%){_NAME}%(?![\w%])"),
-    ("%%", rf"%%{_NAME}%%"),
-    ("#", rf"#(?<![\w#&]#)#?{_NAME}#(?!\w)"),
-    ("~", rf"~(?<![\w~]~){_NAME}~(?![\w~])"),
-    ("*|", rf"\*\|{_NAME}\|\*"),
-    ("^", rf"\^(?<![\w^]\^){_NAME}\^(?![\w^])"),
-    ("__", r"__(?<!\w__)[^\W_][\w]*?[^\W_]__(?![\w_])"),
-    ("|", rf"\|\|(?<![\w|*]\|\|){_NAME}\|\|(?![\w|*])"),
+# fixed values: variables of shells and systems, and codes of currencies, that are written like placeholders
+_ENVIRONMENT = "APPDATA LOCALAPPDATA PROGRAMDATA PROGRAMFILES USERPROFILE USERNAME COMPUTERNAME HOMEDRIVE HOMEPATH SYSTEMROOT SYSTEMDRIVE WINDIR COMSPEC TEMP TMP PATH PUBLIC HOME USER SHELL PWD LANG HOSTNAME EDITOR JAVA_HOME PYTHONPATH LD_LIBRARY_PATH USD AUD CAD NZD HKD SGD".split()
+#: Beginnings of words that name what letters, contracts and forms leave to be filled in.
+_FIELD = (
+    "name first last full surname amount sum total date day month year time price cost fee company firm client customer guest manager owner tenant agent employee person address phone tel email mail number num no id code unit room floor building position "
+    "title city country street region contract invoice order booking check arrival departure property deadline term detail signature recipient sender subject user account qty quantity rate currency bank passport organi department project product item "
+    "имя фамил отчеств фио сумм дат ден месяц год врем цен стоимост тариф компан фирм клиент заказчик исполнител гост менеджер собственник арендатор сотрудник адрес телефон почт номер код этаж помещен апартамент корпус должност наименован названи реквизит срок город "
+    "стран улиц договор счет счёт заказ брон заезд выезд подпис получател отправител пользовател количеств ставк валют банк паспорт организац отдел объект проект товар услуг"
+).split()
+
+#: (characters the text must have, grammar, whether what stands inside must look like a field) by kind of delimiter.
+PLACEHOLDERS: list[tuple[str, str, bool]] = [
+    ("{{", rf"\{{\{{\{{?[#/^&>]?\s*{_NAME}\s*(?:\|[^{{}}\n]*)?\}}\}}|\{{\{{[^{{}}\n]*?[^\W\d_][^{{}}\n]*\}}\}}", False),
+    ("{%", rf"\{{%-?\s*{_NAME}[^{{}}%\n]*-?%\}}", False),
+    ("${", rf"\$\{{\s*{_NAME}\s*(?::[^{{}}\n]*)?\}}", False),
+    ("{", rf"\{{(?<![\w{{$%#\\:]\{{)\s*{_NAME}\s*\}}(?!\}})", True),
+    ("{", r"\{(?<![\w{$%#\\:)\]}]\{)\d{1,2}\}(?![}{\d])", False),
+    ("[[", rf"\[\[\s*{_NAME}\s*(?:\|[^\[\]\n]*)?\]\]", True),
+    ("[", rf"\[(?<![\[\w\]]\[)(?!{_CITE}\b){_NAME}\](?![\[(\]])(?<!\d\])", True),
+    ("[", rf"\[{_ASK}\b[^\[\]\n]+\]", False),
+    ("(", rf"\((?:{_ASK})\s*:\s*[^()\n]+\)|\((?:insert|enter|type)\s[^()\n]+?\shere\)|\((?:вставить|вписать|указать)\s[^()\n]+?\s(?:здесь|сюда)\)", False),
+    ("<<", rf"<<\s*{_NAME}\s*>>", True),
+    ("<", rf"<(?:TODO|FIXME|TBD|XXX)\b[^<>\n]*>", False),
+    ("<", rf"<(?<![\w]<)(?!/)(?!(?:{'|'.join(_MARKUP)})\b){_NAME}>(?!>)", True),
+    ("<?", rf"<\?(?:=|php|php echo)?\s*\$?{_NAME}\s*;?\s*\?>", False),
+    ("<%", r"<%[=\-]?[^<>%\n]*[^\W\d_][^<>%\n]*-?%>", False),
+    ("&lt;", rf"&lt;(?!/)(?!(?:{'|'.join(_MARKUP)})\b){_NAME}&gt;", True),
+    ("@@", rf"@@{_NAME}@@", False),
+    ("%(", rf"%\({_NAME}\)[sdfr]", False),
+    ("%", rf"%(?<![\w%]%){_NAME}%(?![\w%])", True),
+    ("%%", rf"%%{_NAME}%%", True),
+    ("#", rf"#(?<![\w#&]#)#?{_NAME}#(?!\w)", True),
+    ("~", rf"~(?<![\w~]~){_NAME}~(?![\w~])", True),
+    ("*|", rf"\*\|{_NAME}\|\*", False),
+    ("^", rf"\^(?<![\w^]\^){_NAME}\^(?![\w^])", True),
+    ("__", r"__(?<!\w__)(?![a-z]+__)[^\W_][\w]*?[^\W_]__(?![\w_])", True),
+    ("|", rf"\|\|(?<![\w|*]\|\|){_NAME}\|\|(?![\w|*])", True),
+    ("$", r"(?<![\w$\\/.])\$[A-Z][A-Z_]{2,}\b(?![\w(=/])|(?<![\w$\\/.])\$[a-z]+_[a-z_]+\b(?![\w(=\[/])", True),
+    (":", r"(?<=[ \n(]):[a-z]+(?:_[a-z]+)+\b(?![:\w(])", True),
 ]
 
 #: Values that a machine leaves where a template got none or a wrong one, case as written.
@@ -65,7 +83,7 @@ MACHINE: list[tuple[str, str]] = [
     ("undefined", r"(?<![\w.])(?<!is )(?<!are )(?<!was )(?<!were )(?<!left )(?<!remain )(?<!remains )(?<!be )(?<!an )(?<!of )undefined(?![\w=(])"),
     ("NaN", r"(?<![\w.])NaN(?![\w(])"),
     ("NULL", r"(?<![\w.])(?<!NOT )(?<!IS )NULL(?![\w(])"),
-    ("None", r"(?<![\w.\"'(=])(?<!: )None(?! of\b)(?!\s+(?:were|are|have|had|do|did|could|would|should|will|can|may|shall|remain|is|was|has|other|too|better|such|at|in|came|\w+ed)\b)(?![\w(=])"),
+    ("None", r"(?<![\w.\"'(=])(?<!: )None(?! of\b)(?!\s+(?:were|are|have|had|do|did|could|would|should|will|can|may|shall|remain|is|was|has|other|too|better|such|at|in|came|who|whom|but|so|that|than|ever|know|knows|knew|exists?|\w+er|\w+ed)\b)(?![\w(=])"),
     ("(null)", r"\(null\)"),
     ("Invalid", r"(?<!\w)Invalid [Dd]ate(?!\w)"),
     ("#", r"#(?:REF!?|N/A|NAME\?|VALUE!?|DIV/0!?|NUM!|NULL!|ИМЯ\?|ССЫЛКА!|ЗНАЧ!|Н/Д|ДЕЛ/0!|ЧИСЛО!|ПУСТО!)(?!\w)"),
@@ -83,6 +101,8 @@ _RU_THING = r"(?:текст\w*|заголов\w+|абзац\w*|подпис\w+|
 _PART = r"(?:блока|раздела|документа|страницы|объекта|услуги|товара|сюда|здесь|сайта|компании)"
 # fixed values: words of the usual pseudo-Latin filler
 _LATIN = "lorem ipsum dolor sit amet consectetur adipiscing adipisicing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum".split()
+# fixed values: words of the other passage that filler is taken from
+_LATIN_2 = "perspiciatis unde omnis iste natus error voluptatem accusantium doloremque laudantium totam rem aperiam eaque ipsa quae ab illo inventore veritatis quasi architecto beatae vitae dicta explicabo nemo ipsam quia voluptas aspernatur aut odit fugit".split()
 # fixed values: the letter rows of two keyboards
 _ROWS = ["qwertyuiop", "asdfghjkl", "zxcvbnm", "йцукенгшщзхъ", "фывапролджэ", "ячсмитьбю"]
 
@@ -106,13 +126,13 @@ def _mashed(low: str) -> bool:
 def _filler() -> list[tuple[tuple[str, ...], re.Pattern]]:
     """(lower-case strings of which the text must have one, grammar)."""
     flags = 0  # they are searched in lower case
-    latin = "|".join(_LATIN)
+    latin = "|".join(_LATIN + _LATIN_2)
     repeat = r"рыба|рыбатекст|бла|blah|bla|test|тест|text|текст|пример|example|sample|образец|dummy|placeholder|заглушка|filler|xxx|foo|lorem|слово|word"
     return [
         (("lorem", "ipsum", "dolor", "consectetur"), re.compile(r"\blorem ipsum dolor\b", flags)),
-        (("lorem", "ipsum", "dolor", "consec", "labor", "magna", "aliqu", "veniam", "ullamco"), re.compile(rf"\b(?:{latin})(?:[\s,.;]+(?:{latin})\b){{7,}}", flags)),
+        (("lorem", "ipsum", "dolor", "consec", "labor", "magna", "aliqu", "veniam", "ullamco", "perspiciatis", "voluptate"), re.compile(rf"\b(?:{latin})(?:[\s,.;]+(?:{latin})\b){{7,}}", flags)),
         (tuple(repeat.split("|")), re.compile(rf"\b({repeat})(?:[\s,.!]+\1\b){{2,}}", flags)),
-        (("here", "follow", "layout", "replaced"), re.compile(rf"\b(?:sample|placeholder|dummy|example|your|filler|some|insert|more)\s+{_THING}\s+(?:here|goes here|appears here|comes here|will go here|to follow|for layout|(?:is )?to be replaced|to come)\b", flags)),
+        (("here", "follow", "layout", "replaced"), re.compile(rf"(?<!write )(?<!sign )(?<!print )(?<!put )\b(?:sample|placeholder|dummy|example|your|filler|some|insert|more)\s+{_THING}\s+(?:here|goes here|appears here|comes here|will go here|to follow|for layout|(?:is )?to be replaced|to come)\b", flags)),
         (("to add", "to edit", "to insert", "to type", "to enter"), re.compile(rf"\b(?:click|tap|double-click|press|use this block)(?: here)? to (?:add|edit|insert|type|enter)\s+(?:a |an |your |some |the )?(?:own |short |new )?{_THING}", flags)),
         (("пример", "образец", "макет"), re.compile(rf"\b(?:пример|образец|макет)\s+{_RU_THING}\s+(?:под замену|для в[её]рстки|для проверки|для макета|для заполнения)", flags)),
         (("впишите", "введите", "вставьте", "добавьте", "напишите"), re.compile(rf"\b(?:сюда\s+|здесь\s+)?(?:впишите|введите|вставьте|добавьте|напишите)\s+(?:сюда\s+|здесь\s+)?(?:ваш\s+|свой\s+)?{_RU_THING}(?:\s+{_PART})\b|\b(?:сюда|здесь)\s+(?:впишите|введите|вставьте|добавьте|напишите)\s+(?:ваш\s+|свой\s+)?{_RU_THING}", flags)),
@@ -123,81 +143,133 @@ def _filler() -> list[tuple[tuple[str, ...], re.Pattern]]:
     ]
 
 
-#: Sentences of error pages and of notices that scripts, cookies or a check are required; taken out one by one.
+# fixed values: what servers say in Russian where the registry of status codes has an English phrase
+_STATUS_RU = r"доступ (?:запрещ[её]н|ограничен|закрыт)|(?:страница|файл|документ|ресурс) не найден[ао]?|слишком много запросов|внутренняя ошибка сервера|ошибка шлюза|шлюз не отвечает|сервис (?:временно )?недоступен|время ожидания истекло|требуется (?:вход|авторизация)|неверный запрос|ресурс (?:удал[её]н|перемещ[её]н)|удалено"
 _SCRIPTS = r"(?:java\s?scripts?|js|scripts?|scripting|active content|cookies?|скрипт\w*|сценари\w*|куки)"
-_ON = r"(?:enable|allow|turn on|switch on|activate|accept|unblock|включит\w*|включить|разрешит\w*|разрешить|активир\w*)"
-_STATUS = r"(?:bad request|unauthorized|forbidden|not found|request time-?out|gone|too many requests|internal server error|bad gateway|service (?:temporarily )?unavailable|gateway time-?out|access denied|доступ (?:запрещ[её]н|ограничен|закрыт)|страница не найдена|файл не найден|документ не найден|слишком много запросов|внутренняя ошибка сервера|ошибка шлюза|шлюз не отвечает|сервис (?:временно )?недоступен|время ожидания истекло|требуется (?:вход|авторизация)|неверный запрос|ресурс (?:удал[её]н|перемещ[её]н)|удалено)"
-
-
-_END = r"(?=[.!?…;:\s|)\]}\"]|$)"
-_REST = r"[^.,!?\n;«»\"]"  # the rest of a sentence of a page, not of prose
-_N = r"[1-5]\d\d"
-_SCRIPT_NEEDS = ("script", "js", "active content", "cookie", "скрипт", "сценари", "куки")
-
-#: (strings of which the lower-case text must have one, grammar): what is an error or notice.
-STRONG: list[tuple[tuple[str, ...], str]] = [
-    (("request", "unauth", "forbidden", "not found", "gone", "error", "gateway", "unavailable", "denied", "доступ запр", "доступ огр", "доступ закр", "не найден", "ошибка", "шлюз", "время ожидания", "требуется", "запросов", "запрос", "ресурс", "удалено", "недоступен"), rf"(?:(?:http|error|err|ошибка|код|status|code)\s*:?\s*(?:№\s*)?)?\(?\b{_N}\b\)?[\s.:\-–—]*{_STATUS}{_END}|\b{_STATUS}\b\s*(?:\(?(?:{_N})\)?)?{_END}"),
-    (("http", "err", "ошибка"), rf"\b(?:http|err|error|ошибка)\s*:?\s*{_N}\b"),
-    (("для ",), rf"\bдля (?:просмотра|работы|открытия|продолжения|доступа|отображения)\b{_REST}{{0,60}}{_ON}{_REST}{{0,60}}{_SCRIPTS}{_REST}{{0,50}}"),
-    (_SCRIPT_NEEDS, rf"\b(?:пожалуйста,? )?(?:{_ON})\s+(?:поддержку\s+)?{_SCRIPTS}\b{_REST}{{0,60}}|\bбез (?:{_SCRIPTS})\b{_REST}{{0,60}}"),
-    (_SCRIPT_NEEDS, rf"\b(?:you|please|to go on,?|to continue,?|kindly)\s+(?:need to|must|have to|should)?\s*{_ON}\s+{_REST}{{0,30}}{_SCRIPTS}\b{_REST}{{0,60}}"),
-    (_SCRIPT_NEEDS, rf"\b{_SCRIPTS}(?: and {_SCRIPTS})? (?:is|are) (?:turned off|disabled|required|switched off|blocked)\b{_REST}{{0,50}}"),
-    (_SCRIPT_NEEDS, rf"\b(?:this|the) (?:page|site|app|document|portal|viewer|table) (?:requires|needs|works only with|cannot run without)\b{_REST}{{0,20}}{_SCRIPTS}{_REST}{{0,40}}"),
-    (("браузер не",), rf"\b(?:ваш )?браузер не поддерживает\b{_REST}{{0,60}}"),
-    (("if nothing",), rf"\bif nothing happens\b,?{_REST}{{0,60}}"),
-    (("checking",), rf"\bchecking (?:your browser|if the site connection|that you are)\b{_REST}{{0,60}}"),
-    (("робот", "ваш браузер", "robot", "human"), rf"\bпроверяем,? (?:что )?(?:вы не робот|ваш браузер){_REST}{{0,40}}|\b(?:verify|confirm|prove)\s+(?:that )?you are (?:not a robot|human){_REST}{{0,40}}|\b(?:подтвердите, что )?вы не робот\b"),
-    (("the requested",), rf"\bthe requested (?:url|page|document|file)\b[^\n;«»\"]{{0,60}}?(?:not found|was not found|moved|unavailable){_REST}{{0,40}}"),
-    (("the server", "your request"), rf"\bthe server was unable to complete your request\b|\byour request has been (?:blocked|denied){_REST}{{0,20}}"),
-    (("went wrong", "не так", "oops", "this site", "the file you", "no preview"), r"\bsomething went wrong(?: on our side| on our end)?\b|\bчто-то пошло не так\b|\boops,? we lost this page\b|\bthis site can['’]t be reached\b|\bthe file you asked for is no longer here\b|\bno preview available\b"),
-    (("session", "сеанс"), r"\b(?:session expired|сеанс (?:завершён|завершен|ист[её]к)|(?:your )?session has expired)\b"),
-    (("you need", "нужен доступ", "access"), r"\b(?:you need (?:permission|access)|вам нужен доступ|access (?:is )?required)\b"),
-    (("файл", "не удалось"), r"\bфайл слишком велик для предпросмотра\b|\bне удалось открыть (?:файл|документ|страницу)\b|\bфайл удал[её]н владельцем\b(?:\s*\(\d+\))?"),
-    (("запрашиваем", "превышен", "технические"), rf"\bзапрашиваем\w+ (?:документ|страница|файл|ресурс)\b{_REST}{{0,60}}|\bпревышен лимит запросов\b{_REST}{{0,40}}|\bтехнические работы\b{_REST}{{0,30}}"),
-    (("exception", "traceback", "error", "failed"), r"\bunhandled exception\b|\btraceback \(most recent call last\):?|\b\w+(?:error|exception):[^\n]{0,80}|\bexport failed\b:?"),
-    (("administrator",), rf"\bcontact your administrator\b{_REST}{{0,40}}"),
-]
-#: What accompanies an error or notice, and makes none alone.
-WEAK: list[tuple[tuple[str, ...], str]] = [
-    (("file ",), r"file \"[^\"\n]{1,80}\", line \d+(?:, in [<\w.>]+)?"),
-    (("sign in", "log in", "ask the owner", "account"), rf"\b(?:please )?(?:sign in|log in)(?: again)?\b{_REST}{{0,30}}|\bask the owner\b{_REST}{{0,60}}|\bswitch to another account\b"),
-    (("reload", "refresh", "go back"), rf"\b(?:reload|refresh)(?: the page)?\b{_REST}{{0,40}}|\bgo back to the start\b"),
-    (("попробуйте", "проверьте", "обратитесь", "вернуться"), rf"\bпопробуйте\b{_REST}{{0,60}}|\bпроверьте адрес\b{_REST}{{0,40}}|\bобратитесь к (?:владельцу|администратору)\b{_REST}{{0,60}}|\bвернуться (?:на главную|назад)\b"),
-    (("мы уже", "зайдите", "не закрывайте", "подождите", "обновите"), rf"\bмы уже работаем\b{_REST}{{0,40}}|\bзайдите позже\b|\bне закрывайте окно\b|\bподождите\b{_REST}{{0,20}}|\bобновите страницу\b"),
-    (("request id", "incident", "reference", "инцидента", "trace id", "ray id"), r"\b(?:request id|incident|error reference|код инцидента|trace id|reference|ray id)\s*:?\s*[\w\-]{2,40}"),
-    (("loading", "gw-", "few seconds", "before access", "oops", "упс"), r"\bloading(?: viewer)?\b|\bgw-\d+ \(proxy\) at [\d.]+|\bthis takes a few seconds\b|\bbefore access\b|\b(?:oops|упс)\b"),
-]
+_ON = r"(?:enabl\w+|allow\w*|turn\w*|switch\w*|activat\w+|accept\w*|unblock\w*|disabled|required?|requires|needs?|must|without|support\w*|works? only|blocked|включ\w+|разреш\w+|активир\w+|нужн\w+|необходимо|требу\w+|без|не поддерживает|отключ\w+)"
+_THING_LOST = r"(?:pages?|sites?|websites?|servers?|services?|files?|documents?|resources?|urls?|links?|address|requests?|sessions?|access|account|permission|preview|viewer|connection|gateway|host|database|director(?:y|ies)|something|app|portal|export|import|download|upload|страниц\w*|сайт\w*|сервер\w*|сервис\w*|файл\w*|документ\w*|ресурс\w*|ссылк\w+|запрос\w*|сеанс\w*|сесси\w+|доступ\w*|шлюз\w*|соединени\w+|предпросмотр\w*|технические работы|что-то)"
+_LOST = r"(?:not found|cannot|can['’]?t|could not|couldn['’]?t|unable|unavailable|moved|removed|deleted|no longer|denied|forbidden|expired|blocked|fail(?:ed|s|ure)?|lost|refused|exceeded|timed? ?out|went wrong|not available|does(?: not|n['’]t) exist|do(?: not|n['’]t) have|you need|too (?:many|large)|terminated|no preview|не найден\w*|не удалось|удал[её]н\w*|перемещ\w+|недоступ\w+|запрещ\w+|ограничен\w*|ист[её]к\w*|заверш[её]н\w*|превышен\w*|не отвечает|отказано|не существует|больше не|нужен доступ|слишком|пошло не так|технические работы)"
+_CHECK = r"(?:checking|verify\w*|confirm|prove|проверяем|подтвердите)\b.*\b(?:browser|human|robot|connection|браузер\w*|робот\w*|человек\w*)|вы не робот|captcha|капч\w+"
 
 
-@lru_cache(maxsize=2)
-def _compiled(strong: bool) -> list[tuple[tuple[str, ...], re.Pattern]]:
-    return [(needs, re.compile(rx)) for needs, rx in (STRONG if strong else WEAK)]
+@lru_cache(maxsize=1)
+def _status() -> str:
+    """The phrases of the registry of status codes from 400 on, and what pages make of them."""
+    phrases = {s.phrase.lower() for s in HTTPStatus if s >= 400} | {"access denied", "request time-out", "gateway time-out", "service temporarily unavailable", "page not found", "file not found", "server error", "request timeout", "gateway timeout", "request entity too large"}
+    return "(?:" + "|".join(re.escape(p) for p in sorted(phrases, key=len, reverse=True)) + f"|{_STATUS_RU})"
+
+
+@lru_cache(maxsize=1)
+def _said() -> list[tuple[tuple[str, ...], re.Pattern, bool]]:
+    """(strings of which the lower-case text must have one, grammar in lower case, whether it is an error by itself): lines and codes, taken out first."""
+    code = r"\(?\b[45]\d\d\b\)?"
+    return [
+        (("http", "err", "status", "ошибк", "код"), re.compile(rf"\b(?:https?(?:/\d(?:\.\d)?)?|err(?:or)?|status|ошибка|код)(?: code| ошибки)?\s*[:#№]?\s*{code}(?:[\s.:\-–—]*\b{_status()}\b)?"), True),
+        (("4", "5"), re.compile(rf"{code}[\s.:\-–—]*\b{_status()}\b"), True),
+        (tuple("request,auth,forbidden,found,gone,error,gateway,unavailable,denied,too,timeout,time-out,доступ,не найден,ошибка,шлюз,время ожидания,требуется,запрос,ресурс,удалено,недоступен,allowed,required,failed".split(",")), re.compile(rf"(?:(?<=[.!?:|>»\-–—\d])\s+|^\s*|\n\s*){_status()}(?:\s*{code})?(?=\s*(?:[.!?…:;|\n)]|$)|\s+[^\W\d])"), True),
+        (("exception", "traceback", "error", "sqlstate", "fatal", "panic"), re.compile(r"\b(?:unhandled|uncaught) (?:exception|error)\b:?|\btraceback \(most recent call last\):?|\b[a-z][\w.]*(?:error|exception)\b: ?[^\n]*|\bsqlstate\b[^\n]*|\bfatal error\b:?[^\n]*|\bpanic: [^\n]*"), True),
+        (("line ", "at "), re.compile(r"^\s*file \"[^\"\n]+\", line \d+(?:, in \S+)?|^\s*at [\w$.<>]+\([^()\n]*\)|\bin \S+\.php on line \d+", re.M), False),
+        (("id", "incident", "reference", "инцидент", "trace"), re.compile(r"\b(?:(?:request|trace|ray|correlation|support|error|event) id|incident(?: id)?|(?:error )?reference(?: id| number)?|код инцидента|номер обращения)\s*[:#№]?\s*[\w\-]*\d[\w\-]*"), False),
+        (("apache", "nginx", "iis", "openresty", "cloudflare", "proxy", "server at", "squid", "varnish", "litespeed"), re.compile(r"\b(?:apache|nginx|iis|openresty|cloudflare|squid|varnish|litespeed)(?:/[\w.]+)?(?: ?\([^()\n]*\))?(?: server)?(?: at [\w.\-]+)?(?: port \d+)?|\b[\w\-]+ \(proxy\)(?: at [\w.:\-]+)?"), False),
+    ]
 
 
-_JSON_ERROR = re.compile(r"\{\s*\"(?:error|errors|fault|exception|failure)\"\s*:.{0,600}\}\s*$", re.S | re.I)
+#: Beginnings of the usual words of errors, notices and the advice that goes with them.
+_USUAL = (
+    "page site web server service file document resource url link address request session access account permission preview view browser javascript js script cookie content app portal connect gateway proxy host database object folder direct security "
+    "error err found cannot can't can’t could unable unavailab moved remov delet longer denied forbid expir block fail lost reach refus exceed limit many too timed timeout time wrong went problem invalid missing disabl off requir unauthor exception fatal occur broken unexpected "
+    "internal bad gone oops sorry try again reload refresh retry later check contact admin support webmaster sign log back go return home start wait second minute few ask owner switch another click enabl allow turn on activat accept please continu proceed verify human robot complet "
+    "open load close window persist moment nothing happens run need must have need sure setting option incident reference changed temporar maint supported version update "
+    "страниц сайт сервер сервис файл документ ресурс ссылк адрес запрос запрашива сеанс сесси доступ аккаунт браузер скрипт сценари куки портал приложени таблиц шлюз соединени предпросмотр просмотр содержим технич работ ошибк найден удал перемещ недоступ запрещ ограничен закрыт ист "
+    "заверш превыш лимит отвеча отказ существу больше нужн нужен необходим требу слишком много внутренн сбой поддерж выполн отключ невозможн загруз откры неверн попроб проверь провер обратит обнов верн главн назад позже подожд зайди войди вход повтор попытк включ разреш активир настро "
+    "info name out side end владел администратор друг учётн учетн запис исправл пошл упс пожалуйста уже работа окно закрыва минут секунд снова позднее авториз удалось велик робот человек капч вероятн возможн"
+).split()
+# fixed values: words of grammar
+_GRAMMAR = frozenset(
+    "the this that these is was are be been being has have had to of for in at by your our you we it its or and if with from may might do does did will would before after all just more an as not no only any so on my me us they he she there here when while which who "
+    "для из за по что это этот эта этого вас вам вы ваш ваша мы нас вами был была было были есть чтобы при без его её их или не на но и а же ли бы до от об под над то так как она он они".split()
+)
+
+
+@lru_cache(maxsize=1)
+def _usual() -> tuple[frozenset[str], tuple[str, ...]]:
+    """Short words, which must agree as a whole, and beginnings of longer ones."""
+    return frozenset(w for w in _USUAL if len(w) <= 3), tuple(w for w in _USUAL if len(w) > 3)
+
+
+_ERROR_KEY = re.compile(r"\{\s*\"(?:error|errors|fault|exception|failure)\"\s*:", re.I)
 _WORD = re.compile(r"[^\W\d_]{2,}")
-_CODE = re.compile(r"```.*?```|~~~.*?~~~|(?m:^(?: {4}|\t).*$(?:\n(?: {4}|\t).*$)*)|<(code|pre)\b.*?</\1>|`[^`\n]{1,200}`", re.S)
+_SENTENCE = re.compile(r"[\n|>]+|(?<=[.!?…;])\s+|(?<=\d)\s+(?=[^\W\d])")
+_NEEDED = re.compile(rf"\b{_ON}\b.*\b{_SCRIPTS}\b|\b{_SCRIPTS}\b.*\b{_ON}\b|\bбраузер не поддерживает\b|\bif nothing happens\b")
+_FAILED = re.compile(rf"\b{_THING_LOST}\b.*\b{_LOST}|\b{_LOST}.*\b{_THING_LOST}\b|^\W*технические работы|\bнужен доступ\b|\byou need (?:permission|access)\b|\baccess (?:is )?required\b|\bno preview\b")
+_CHECKED = re.compile(rf"\b(?:{_CHECK})")
+_CODE = re.compile(r"```.*?```|~~~.*?~~~|<(code|pre)\b.*?</\1>|`[^`\n]+`", re.S)
+# an indented block after a blank line or a colon, in which something looks like a program
+_INDENTED = re.compile(r"(?:\A|(?<=\n\n)|(?<=:\n))(?:(?: {4}|\t)[^\n]*(?:\n|\Z))+")
+_PROGRAM = re.compile(r"[;=(){}<>]|^\s*(?:def|class|import|return|if|for|while|function|var|let|const|echo|print|select|#|//)\b", re.M | re.I)
 _TALK = re.compile(r"\b(?:placeholder|template|templat\w+|variable|syntax|merge field|tutorial|for example|e\.g\.|escap\w+|macro|tag|marker|format|шаблон\w*|переменн\w+|подставля\w+|подстановк\w+|плейсхолдер\w*|синтаксис\w*|например|макрос\w*|тег\w*|метк\w+|маркер\w*|формат\w*|строк\w+ выгрузки)\b", re.I)
+_TECHNICAL = re.compile(r"\b(?:columns?|dataframes?|pandas|numpy|python|javascript|sql|quer(?:y|ies)|functions?|variables?|methods?|attributes?|modules?|compilers?|interpreters?|operators?|values?|data types?|booleans?|arrays?|parameters?|arguments?|pointers?|behaviou?rs?|shell|terminal|столбц\w*|колонк\w*|переменн\w+|функци\w+|оператор\w*|интерпретатор\w*)\b", re.I)
 _QUOTED = re.compile(r"[«\"“'`]\s*$")
+_CAMEL = re.compile(r"[a-zа-я][A-ZА-Я]|[_.]\w|^[A-ZА-ЯЁ][A-ZА-ЯЁ _]{2,}$")
+_LETTERS = re.compile(r"[^\W\d_]+")
+
+
+@lru_cache(maxsize=1)
+def _grammars() -> list[tuple[str, re.Pattern, bool]]:
+    cased = ("$", ":", "__")
+    return [(need, re.compile(rx, 0 if need in cased else re.I), field) for need, rx, field in PLACEHOLDERS]
 
 
 @lru_cache(maxsize=1)
-def _grammars() -> list[tuple[str, re.Pattern]]:
-    return [(need, re.compile(rx, re.I if need not in dict(MACHINE) or need == "[object" else 0)) for need, rx in PLACEHOLDERS] + [(need, re.compile(rx)) for need, rx in MACHINE]
+def _machine() -> list[tuple[str, re.Pattern]]:
+    return [(need, re.compile(rx, re.I if need == "[object" else 0)) for need, rx in MACHINE]
+
+
+@lru_cache(maxsize=1)
+def _field_starts() -> tuple[frozenset[str], tuple[str, ...]]:
+    return frozenset(w for w in _FIELD if w.isascii() and len(w) <= 3), tuple(w for w in _FIELD if not w.isascii() or len(w) > 3)
+
+
+def is_field(inside: str) -> bool:
+    """Whether a name could be that of a field: an identifier in shape, or with a word of the vocabulary."""
+    inside = inside.strip(" [](){}<>#%~^|_$:;&@*")
+    if inside.upper() in _ENVIRONMENT:
+        return False
+    if _CAMEL.search(inside):
+        return True
+    short, starts = _field_starts()
+    return any(w in short or w.startswith(starts) for w in (x.lower() for x in _LETTERS.findall(inside)))
+
+
+def _sentence_of(text: str, a: int, b: int) -> tuple[int, int]:
+    left = max(text.rfind("\n", 0, a), text.rfind(". ", 0, a)) + 1
+    stop = [e for e in (text.find("\n", b), text.find(". ", b)) if e >= 0]
+    return left, min(stop) if stop else len(text)
+
+
+def _code_spans(text: str) -> list[tuple[int, int]]:
+    spans = [m.span() for m in _CODE.finditer(text)] if "`" in text or "~~~" in text or "<code" in text or "<pre" in text else []
+    if "\n    " in text or "\n\t" in text or text.startswith(("    ", "\t")):
+        spans += [m.span() for m in _INDENTED.finditer(text) if _PROGRAM.search(re.sub(r"[{<\[]{2}.*?[}>\]]{2}", "", m.group()))]
+    return spans
 
 
 def placeholders(text: str) -> list[tuple[int, int]]:
     """Spans of placeholders and machine values that the text does not merely talk about."""
-    found = [m.span() for need, rx in _grammars() if need in text for m in rx.finditer(text)]
+    marks = [m.span() for need, rx, field in _grammars() if need in text for m in rx.finditer(text) if not field or is_field(m.group())]
+    marks = [s for s in marks if text[s[0]] != "$" or text[s[0] : s[1]].strip("${} ").upper() not in _ENVIRONMENT]
+    values = [m.span() for need, rx in _machine() if need in text for m in rx.finditer(text)]
+    if not marks and not values:
+        return []
+    code = _code_spans(text)
+    # a machine value is told from the word by the sentence it stands in
+    values = [s for s in values if not _TECHNICAL.search(text[slice(*_sentence_of(text, *s))].replace(text[s[0] : s[1]], " "))]
+    found = [s for s in marks + values if not any(a <= s[0] < b for a, b in code)]
     if not found:
         return []
-    code = [m.span() for m in _CODE.finditer(text)] if "`" in text or "~~~" in text or "<code" in text or "<pre" in text else []
-    found = [s for s in found if not any(a <= s[0] < b for a, b in code)]
     told = []
     for s in found:
-        left = max(text.rfind("\n", 0, s[0]), text.rfind(". ", 0, s[0])) + 1
-        stop = [e for e in (text.find("\n", s[1]), text.find(". ", s[1])) if e >= 0]
-        sentence = text[left : min(stop) if stop else len(text)]
+        sentence = text[slice(*_sentence_of(text, *s))]
         told.append(bool(_QUOTED.search(text[max(0, s[0] - 3) : s[0]]) and _TALK.search(sentence.replace(text[s[0] : s[1]], " "))))
     if all(told) and 100.0 * len(found) < DENSITY * max(1, len(_WORD.findall(text))):
         return []
@@ -219,20 +291,41 @@ def _stretches(text: str, least: int = 300) -> Iterator[str]:
         at = end
 
 
+def _json_error(text: str) -> bool:
+    """An object that reports an error, of any length, with nothing but a title around it."""
+    m = _ERROR_KEY.search(text)
+    if not m:
+        return False
+    try:
+        _, end = json.JSONDecoder(strict=False).raw_decode(text, m.start())
+    except ValueError:
+        return False
+    return len(_WORD.findall(text[: m.start()])) + len(_WORD.findall(text[end:])) <= TITLE_WORDS
+
+
 def is_error_page(text: str) -> bool:
     """Nothing but errors and notices, besides a title or menu. The text is read as far as other words stay few."""
-    if "{" in text and _JSON_ERROR.search(text) and len(_WORD.findall(text[: text.find("{")])) <= TITLE_WORDS:
+    if "{" in text and _json_error(text):
         return True
-    hits = words = 0
+    hits = others = 0
+    short, starts = _usual()
     for part in _stretches(text.lower()):
-        for strong in (True, False):
-            for needs, rx in _compiled(strong):
-                if any(n in part for n in needs):
-                    part, n = rx.subn(" ", part)
-                    hits += n if strong else 0
-        words += len(_WORD.findall(part))
-        if words > TITLE_WORDS:
-            return False
+        for needs, rx, error in _said():
+            if any(n in part for n in needs):
+                part, n = rx.subn("\n", part)
+                hits += n if error else 0
+        for sentence in _SENTENCE.split(part):
+            words = _WORD.findall(sentence)
+            told = [w for w in words if w not in _GRAMMAR]
+            if not words:
+                continue
+            usual = sum(w in short or w.startswith(starts) for w in told)
+            if usual < USUAL_SHARE * len(told):
+                others += len(words)
+                if others > TITLE_WORDS:
+                    return False
+            elif _NEEDED.search(sentence) or _FAILED.search(sentence) or _CHECKED.search(sentence):
+                hits += 1
     return hits > 0
 
 
