@@ -91,6 +91,10 @@ def test_paged_source_reads_each_line_once_and_filters(spark, tmp_path):
     df = spark.read.format("paged_listing").option("path", str(p)).option("pageSize", "777").load()
     assert sorted(int(r["id"]) for r in df.collect()) == list(range(300))
     assert df.where("trashed = false and driveId = 'd1'").count() == sum(1 for i in range(300) if i % 5 and i % 2)
+    assert readers.get_object(df, "7").count() == 1
+    p.write_text("\n".join(json.dumps({"id": str(i), "parents": [f"p{i % 4}", "q"], "owners": [{"displayName": "Bo"}]}) for i in range(40)))
+    one = spark.read.format("paged_listing").option("path", f"file://{p}").option("parent", "p1").load()
+    assert one.count() == 10 and readers.to_items(one).first()["owners"] == "Bo"
 
 
 def test_registry_and_flags(spark, tmp_path):
@@ -106,7 +110,9 @@ def test_registry_and_flags(spark, tmp_path):
 def docx(text):
     b = io.BytesIO()
     with zipfile.ZipFile(b, "w") as z:
+        z.writestr("word/header1.xml", "<h><t>top</t></h>")
         z.writestr("word/document.xml", f"<d xmlns:w='u'><w:p><w:t>{text}</w:t></w:p></d>")
+        z.writestr("word/styles.xml", "<s><t>style</t></s>")
     return b.getvalue()
 
 
@@ -114,20 +120,82 @@ def xlsx():
     b = io.BytesIO()
     with zipfile.ZipFile(b, "w") as z:
         z.writestr("xl/sharedStrings.xml", "<s><si><t>shared</t></si></s>")
-        z.writestr("xl/worksheets/sheet1.xml", "<w><row><c t='s'><v>0</v></c><c><v>42</v></c></row></w>")
+        z.writestr("xl/worksheets/sheet1.xml", "<w><row><c t='s'><v>0</v></c><c><v>42</v></c></row>" + "<row><c><v>7</v></c></row>" * 300 + "</w>")
     return b.getvalue()
 
 
+RTF = rb"{\rtf1\ansi\ansicpg1251{\fonttbl{\f0 Arial;}}{\*\generator x;}\b \'cf\'f0\'e8\b0  \u1078?\u-10179?\u-8704? \{x\}\par caf\'e9\line end}"
+
+
 def test_extraction_by_kind(spark):
-    rows = [("t", "txt", "", b"plain \xff"), ("h", "html", "", b"<b>x</b>&amp;"), ("d", "docx", "", docx("hello")), ("x", "xlsx", "", xlsx()), ("bad", "docx", "", b"no zip"), ("p", "pdf", "", b"%PDF (some text) Tj"), ("i", "png", "", b"\x89"), ("u", "bin", "", b"?"), ("n", "txt", "", None), ("m", "", "text/html", b"<i>y</i>"), ("e", "txt", "", b"")]
+    rows = [("t", "txt", "", b"plain \xff"), ("h", "html", "", b"<b>x</b>&amp;"), ("d", "docx", "", docx("hello")), ("x", "xlsx", "", xlsx()), ("bad", "docx", "", b"no zip"), ("p", "pdf", "", b"%PDF (some text) Tj"), ("i", "png", "", b"\x89"), ("u", "bin", "", b"?"), ("n", "txt", "", None), ("m", "", "text/html", b"<i>y</i>"), ("e", "txt", "", b""), ("r", "rtf", "", RTF), ("c", "csv", "", b'a,"b\nc"\n1,2'), ("g", "", readers.NATIVE + "document", b"exported"), ("s", "", readers.SHEET, b"x")]
     df = spark.createDataFrame(rows, "file_id string, extension string, mime_type string, content binary")
     got = {r["file_id"]: (r["text"], r["status"]) for r in extract.extract(df).collect()}
-    assert got["t"] == ("plain �", "extracted") and got["h"] == ("x &", "extracted") and got["d"] == ("hello", "extracted") and got["x"] == ("shared | 42", "extracted") and got["bad"] == ("", "error:BadZipFile")
+    assert got["t"] == ("plain �", "extracted") and got["h"] == ("x &", "extracted") and got["d"] == ("hello\ntop", "extracted") and got["x"] == ("shared | 42" + "\n7" * 300, "extracted") and got["bad"] == ("", "error:BadZipFile")
     assert got["p"] == ("some text", "extracted") and got["i"] == ("", "ocr_unavailable") and got["u"] == ("", "unsupported") and got["n"] == ("", "no_content") and got["m"] == ("y", "extracted") and got["e"] == ("", "extracted")
+    assert got["r"][0] == "При ж😀 {x}\ncafй\nend" and got["c"][0] == "a b\nc\n1 2" and got["g"] == ("exported", "extracted") and got["s"] == ("", "refused")
+    cut = {r["file_id"]: r for r in extract.describe(extract.extract(df, most_chars=4, rows=200)).collect()}
+    assert cut["x"]["status"] == "truncated" and cut["x"]["content_text_hash"] == "" and cut["h"]["status"] == "extracted"
+    seen = extract.extract(df).join(df.drop("content"), "file_id")
+    assert [tuple(r) for r in extract.ocr_statuses(seen).collect()] == [("i", "ocr_unavailable")]
     d = {r["file_id"]: r for r in extract.describe(extract.extract(df)).collect()}
     assert "text" not in d["t"].asDict() and d["h"]["content_length"] == 3 and d["u"]["content_text_hash"] == ""
 
 
+def test_hashes_of_content_and_of_exports(spark):
+    df = spark.createDataFrame([("a", "application/pdf", b"x"), ("b", readers.NATIVE + "document", b"x"), ("c", readers.SHEET, b"x"), ("d", "t", b"too long"), ("e", "t", None)], "i string, mime_type string, content binary")
+    got = {r["i"]: (r["content_hash"] != "", r["export_hash"] != "") for r in readers.content_hashes(df, 4).collect()}
+    assert got == {"a": (True, False), "b": (False, True), "c": (False, False), "d": (False, False), "e": (False, False)}
+
+
+def test_typed_registry(spark):
+    df = spark.createDataFrame([("1", " 12 ", "Yes"), ("2", "1.9", ""), ("3", "x", "0")], "id string, size string, f string")
+    assert [tuple(r) for r in readers.typed_registry(df, ("size",), ("f",)).orderBy("id").collect()] == [("1", 12, True), ("2", 1, False), ("3", 0, False)]
+
+
+def test_admission_with_null_order_values_and_ties(spark):
+    df = spark.createDataFrame([(None, "a", True), (1, "b", True), (2, "c", True), (None, "d", False), (1, "b", True)], "at int, id string, ok boolean")
+    got = sorted((r["id"], r["admitted"]) for r in S.first_within(df, ["at", "id"], 2, F.col("ok")).collect())
+    assert got == [("a", True), ("b", True), ("b", True), ("c", False), ("d", False)]
+    assert S.first_within(df.limit(0), ["at"], 2, F.col("ok")).count() == 0
+
+
+def test_percentiles_of_a_hot_group_are_exact(spark):
+    rng = random.Random(3)
+    rows = [("hot", rng.randrange(10**6)) for _ in range(900)] + [("few", 5), ("few", 5), (None, 7), ("none", None)]
+    got = {r["k"]: r for r in S.percentiles(spark.createDataFrame(rows, "k string, v int"), "k", "v").collect()}
+    v = sorted(x for k, x in rows if k == "hot")
+    assert [got["hot"][f"p{p}"] for p in (50, 90, 95, 99)] == [v[max(1, -(-len(v) * p // 100)) - 1] for p in (50, 90, 95, 99)]
+    assert got["few"]["p50"] == 5 and got[""]["n"] == 1 and "none" not in got
+
+
+def test_counts_in_order_of_appearance(spark):
+    df = spark.createDataFrame([("b", 1), ("a", 2), ("a", 5), ("b", 3), ("c", 0), (" ", 4)], "v string, at int")
+    assert [tuple(r) for r in S.ordered_counts(df, "v", ("at",)).orderBy("place").collect()] == [("b", 2, 1), ("a", 2, 2), ("c", 1, 3), ("(empty)", 1, 4)]
+
+
+def test_a_hot_key_is_spread_over_tasks(spark):
+    """A key with a third of all rows: no task of the joins and aggregates reads much more than its share."""
+    n = 30_000
+    rows = spark.range(n, numPartitions=8).select(
+        F.concat(F.lit("f"), F.col("id").cast("string")).alias("file_id"), F.col("id").cast("int").alias("listed_at"), F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"), F.col("id").alias("size"),
+        F.lit("2025").alias("modified_time"), F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 5000).cast("string")).alias("md5_checksum"), F.lit("").alias("content_text_hash"),
+    )
+    key = F.col("md5_checksum")
+    m = D.members(rows, key, "EXACT")
+    assert m.count() == n
+    top = {r["key"]: r for r in D.groups(rows, key, "EXACT").where("key = 'hot'").collect()}["hot"]
+    assert top["n_files"] == n // 3 and top["canonical_id"] == f"f{n - 3}"
+    # before keys are reduced, rows are dealt by (key, id) and (key, rank), never by the key alone
+    per = rows.withColumn("__key", key).groupBy("__key", "file_id").agg(F.count("*").alias("n"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["n"] for r in per.withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(sizes) < 1.3 * n / len(sizes)
+
+
 def test_bytes_above_the_limit_keep_no_content(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"123")
     (tmp_path / "b.bin").write_bytes(b"123456")

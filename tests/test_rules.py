@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 import re
 
 import pytest
@@ -84,8 +85,81 @@ def test_vote_against_a_plain_loop(spark):
 def test_compiled_pack_equals_full_scan(spark):
     rng = random.Random(2)
     words = ["Договор", "акт", "черновик", "Invoice", "report", "final", "Смета", "draft", "meeting notes", "без договора", "sop", "отчёт"]
-    df = items(spark, *((str(i), " ".join(rng.choices(words, k=3)) + rng.choice([".pdf", "", "_v2"]), "/x") for i in range(200)))
+    df = items(spark, *((str(i), " ".join(rng.choices(words, k=3)) + rng.choice([".pdf", "", "_v2"]), "/x", "pdf") for i in range(200)))
     assert rules.compare_strategies(packs.DEFAULT, df).count() == 0
+    # a planted difference is reported, whatever the source of its rule
+    for source in rules.SOURCES:
+        r = Rule("planted", source, {"a": "b"}, 7, tokens=("акт", "x"), extensions=("pdf",) if source == "extension" else ())
+        seen = rules.compare_strategies([r], df, [replace(r, weight=8)])
+        assert seen.count() > 0 and {x["source"] for x in seen.select("source").distinct().collect()} == {source}
+
+
+def test_both_regex_dialects_are_tried(spark):
+    python_only, java_only = Rule("p", "filename", {"a": "b"}, patterns=(r"(?P<n>\d+)x",)), Rule("j", "filename", {"a": "b"}, patterns=(r"\p{L}+",))
+    found = {rule_id for level, rule_id, m in rules.validate([python_only, java_only], spark) if level == "error" and "invalid pattern" in m}
+    assert found == {"p", "j"} and rules.usable([python_only, Rule("ok", "filename", {"a": "b"}, tokens=("word",))], spark)[0].rule_id == "ok"
+
+
+def test_guarded_base_is_left_alone(spark):
+    pack = [Rule("p", "path", {"d": "x"}, 10, tokens=("invoices",)), Rule("s", "sensitivity", {"z": "y"}, 5, tokens=("invoices", "secret"))]
+    df = items(spark, ("in", "a", "/Top/Base/Invoices"), ("at", "a", "/Invoices/Base"), ("out", "a", "/Top/Invoices/x"), ("name", "secret", "/BASE/q"))
+    got = {r["file_id"]: [(h["rule_id"], h["score"]) for h in r["hits"]] for r in rules.score(pack, df, guard="base").collect()}
+    assert got["in"] == [] and got["at"] == [("p", 170)] and [h for h, _ in got["out"]] == ["p", "s"] and got["name"] == [("s", 125)]
+    assert [r[0] for r in df.select(rules.inside_base(F.col("full_path"), "base")).collect()] == [True, True, False, True]
+
+
+def test_final_status_confidence_and_views(spark):
+    from tidemark.operators import status
+
+    df = items(spark, ("a", "договор 5.pdf", "/contracts/legal"), ("b", "zzz", "/q"), ("c", "thumbs.db", "/q"), ("d", "invoice", "/персонал/x"))
+    got = {r["file_id"]: r for r in status.finish(rules.classify(packs.DEFAULT, df)).collect()}
+    assert (got["a"]["family"], got["a"]["combined_confidence"], got["a"]["final_status"], got["a"]["retention"]) == ("legal_document", "high", "sensitive", "controlled_retention_review")
+    assert (got["b"]["final_status"], got["b"]["combined_confidence"], got["b"]["final_reason"]) == ("unknown", "unknown", "No confident metadata classification rule matched.")
+    assert got["c"]["final_status"] == "system" and got["c"]["retention"] == "short_term_review"
+    assert got["d"]["combined_confidence"] == "needs_review" and "conflicts=department" in got["d"]["final_reason"]
+    v = status.finish(rules.classify(packs.DEFAULT, df)).withColumns({"duplicate_kind": F.lit(None).cast("string"), "mime_type": F.lit(None).cast("string")})
+    rows = {(r["view"], r["file_id"]) for r in status.view_rows(v).collect()}
+    assert {("system_files", "c"), ("conflicts", "d"), ("unknown", "b"), ("sensitive", "a")} <= rows and not any(x == "exact_duplicates" for x, _ in rows)
+    assert status.view_rows(v.limit(0)).count() == 0
+    c = spark.createDataFrame([("high",), ("",), (None,), ("unknown",), ("sure",)], "c string")
+    assert [r[0] for r in c.select(status.normal_confidence(F.col("c"))).collect()] == ["high", "unknown", "unknown", "unknown", "medium"]
+    f = spark.createDataFrame([("x;phone",), ("inn",), ("",), (None,)], "f string")
+    assert [r[0] for r in f.select(status.class_of_flags(F.col("f"), [("personal", ("phone",)), ("financial", ("inn", "phone"))])).collect()] == ["personal", "financial", "unknown", "unknown"]
+
+
+def test_content_rules_load_and_bad_ones_are_left_out(spark, tmp_path):
+    p = tmp_path / "c.json"
+    p.write_text('{"rules": [{"rule_id": "a", "keywords": ["Акт"], "regex_patterns": ["\\\\d+"], "negative_patterns": ["no"], "target_fields": {"t": "v"}, "weight": 3, "sensitivity_flags": ["f"]}, {"rule_id": "b", "regex_patterns": ["("]}, {"rule_id": "c"}]}')
+    assert content.load(str(p)) == [content.ContentRule("a", ("акт",), (r"\d+",), ("no",), {"t": "v"}, 3, ("f",))]
+
+
+SIEVE_CASE = "file_id string, name string, size string, full_path string, content_hash string, duplicate_group_id string, duplicate_kind string, sensitivity_suggestion string, at int, d string"
+
+
+def test_corpus_sieve_groups_scores_and_tables(spark):
+    c = sieve.parse_config({"sensitivity_hold_values": ["secret"], "extension_rules": [{"rule_id": "z", "status": "CORPUS_EXCLUDE_INSTALLER", "reason": "r", "extensions": [".exe"]}], "system_trash_rules": [{"rule_id": "t", "status": "CORPUS_EXCLUDE_TEMP", "reason": "q", "filename_regex": "^~"}]})
+    rows = [
+        ("a", "Contract final.pdf", "9", "/x", "h1", "", "", "", 1, ""), ("b", "Contract copy.pdf", "9", "/tmp", "h1", "", "", "", 2, ""), ("c", "scan.pdf", "9", "/x", "h1", "", "", "secret", 3, ""),
+        ("d", "one.pdf", "500", "/x", "h2", "G1", "exact", "", 4, ""), ("e", "one b.pdf", "400", "/x", "h3", "G1", "exact", "", 5, ""), ("f", "one c.pdf", "100", "/x", "h3", "", "", "", 6, ""),
+        ("g", "~t", "9", "/x", "", "", "", "", 7, ""), ("h", "s.exe", "9", "/x", "", "", "", "", 8, ""), ("i", "e.txt", "0", "/x", "", "", "", "", 9, ""), ("j", "p.pdf", "99", None, "", "", "", "", 10, ""), ("k", None, None, "/k", None, None, None, None, 11, None),
+    ]
+    df = spark.createDataFrame([tuple(r) for r in rows], SIEVE_CASE).withColumn("extension", F.lower(F.regexp_extract(F.coalesce("name", F.lit("")), r"\.(\w+)$", 1)))
+    corpus, groups = sieve.corpus_sieve(df, c, ("at", "file_id"))
+    got = {r["file_id"]: r for r in corpus.collect()}
+    assert corpus.columns == list(sieve.CORPUS_COLUMNS) and len(got) == len(rows)
+    # h3 has a member in a group that is there already, so it makes none of its own
+    assert {i: (got[i]["duplicate_group_id"], got[i]["canonical_file_id"]) for i in "abcdef"} == {"a": ("EXACT-SIEVE-00002", "a"), "b": ("EXACT-SIEVE-00002", "a"), "c": ("EXACT-SIEVE-00002", "a"), "d": ("G1", "d"), "e": ("G1", "d"), "f": ("", "f")}
+    status = {i: r["corpus_status"].replace("CORPUS_", "") for i, r in got.items()}
+    assert status == {"a": "KEEP_CANONICAL", "b": "SUPPRESS_EXACT_DUPLICATE", "c": "HOLD_SENSITIVE", "d": "KEEP_CANONICAL", "e": "SUPPRESS_EXACT_DUPLICATE", "f": "KEEP_CANONICAL", "g": "EXCLUDE_TEMP", "h": "EXCLUDE_INSTALLER", "i": "EXCLUDE_EMPTY", "j": "REVIEW_UNKNOWN_VALUE", "k": "KEEP_CANONICAL"}
+    actions = {r["file_id"]: r["dedup_action"] for r in sieve.dedup_actions(corpus).collect()}
+    assert actions == {"a": "CANONICAL_KEEP", "b": "EXACT_DUPLICATE_DELETE_CANDIDATE", "c": "DEDUP_HOLD_SENSITIVE", "d": "CANONICAL_KEEP", "e": "EXACT_DUPLICATE_DELETE_CANDIDATE"}
+    assert sieve.canonical_map(corpus).count() == 5 and sieve.manifest(corpus).count() == len(rows) and groups.count() == 2
+    m = sieve.metrics(corpus).first()
+    assert len(m) == 16 and (m["exact_duplicate_groups"], m["canonical_keep"], m["exact_duplicate_files_suppressed"], m["excluded_files"], m["hold_files"], m["review_queue"]) == (2, 4, 3, 3, 1, 2)
+    assert {r["file_id"] for r in sieve.excluded(corpus).collect()} == set("beghi") and {r["file_id"] for r in sieve.review_queue(corpus).collect()} == set("cj") and sieve.kept(corpus).count() == 4
+    none, no_groups = sieve.corpus_sieve(df.limit(0), c, ("at", "file_id"))
+    assert none.count() == 0 and no_groups.count() == 0 and sieve.metrics(none).first()["estimated_processing_load_reduction_percent"] == 0.0
+    assert [r[0] for r in spark.createDataFrame([("неизвестно",), ("Не определено",), ("UNKNOWN x",), (" ",), ("act",)], "v string").select(sieve.known(F.col("v"))).collect()] == [False] * 4 + [True]
 
 
 def test_validation_and_bad_patterns_do_not_stop_a_run(spark):

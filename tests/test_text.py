@@ -39,15 +39,23 @@ def test_version_markers(spark, name, base):
     assert one(spark, name, X.strip_version_markers("c"))[0] == base
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=25, deadline=None)
 @given(st.lists(st.text(alphabet=st.characters(max_codepoint=0x2FFF, exclude_categories=["Cs"]), max_size=12), min_size=1, max_size=20))
-def test_single_character_forms_agree_with_unicode(spark, values):
+def test_compatibility_forms_agree_with_unicode(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, c string")
-    singles = {c for v in values for c in v if len(unicodedata.normalize("NFKC", c)) == 1}
-    for r in df.select("i", X.compat_form("c").alias("o")).collect():
-        v = values[r["i"]]
-        if all(c in singles for c in v) and not any(0x1100 <= ord(c) < 0x1200 for c in v):
-            assert r["o"] == "".join(unicodedata.normalize("NFKC", c) for c in v)
+    for r in df.select("i", X.nfkc("c").alias("o")).collect():
+        assert r["o"] == unicodedata.normalize("NFKC", values[r["i"]])
+
+
+def test_entities_and_features_of_names(spark):
+    t = "/Корпус/Договор № A-12/7 ООО Двор, ИНН 7701234567 апарт. 204 счёт 55-1 от 1.2.2024, 77:01:0001234:56, +7 (495) 123-45-67.pdf"
+    got = {e: one(spark, t, X.entity("c", e, table=X.NAME_ENTITIES))[0] for e in X.NAME_ENTITIES}
+    want = {"contract_number": "A-12/7", "tax_number": "7701234567", "unit_number": "204", "invoice_number": "55-1", "date": "1.2.2024", "year": "2024", "land_number": "77:01:0001234:56", "phone": "+7 (495) 123-45-67", "legal_form_marker": "ООО", "passport_marker": "", "bank_account": ""}
+    assert {k: got[k] for k in want} == want and len(got) == 21
+    f = X.name_features("c")
+    got = dict(zip(f, one(spark, "акт 7 и акт 12/3, договор-55, unit 204 room #12 от 01.02.2024, реестр r1 invoice 9 2019 2019", *f.values())))
+    assert got == {"years": ["2019", "2024"], "dates": ["01.02.2024"], "units": ["12", "204"], "contracts": ["55"], "acts": ["12/3", "7"], "invoices": ["9"], "registries": ["r1"]}
+    assert all(v == [] for v in one(spark, None, *f.values()))
 
 
 def test_entities_language_and_paths(spark):
@@ -65,7 +73,7 @@ def test_reasons_booleans_markup(spark):
     assert [one(spark, v, X.as_bool("c"))[0] for v in ("1", "TRUE", " yes ", "y", "on", "no", "", None)] == [True] * 5 + [False] * 3
     html = "<p>a &amp; b</p><script>x<y</script><!-- c --> &lt;d&gt;&nbsp;e"
     assert one(spark, html, X.strip_markup("c"))[0] == "a & b <d> e"
-    assert one(spark, r"{\rtf1{\fonttbl{\f0 Arial;}}\b bold\b0  text\par}", X.strip_rtf("c"))[0] == "bold text"
+    assert one(spark, "caf&eacute; &#169; &hellip; &amp;lt; AT&T <b>x</b>", X.strip_markup("c"))[0] == "café © … &lt; AT&T x"
 
 
 def test_words_are_unicode(spark):

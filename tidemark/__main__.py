@@ -1,4 +1,4 @@
-"""python -m tidemark MODE SOURCE TARGET [--rules FILE] [--csv]"""
+"""python -m tidemark MODE SOURCE TARGET [--rules FILE] [--sieve-rules FILE] [--csv]"""
 
 import argparse
 import json
@@ -7,6 +7,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from . import packs
+from .operators import sieve
 from .operators.rules import validate
 from .plans.pipeline import MODES, run
 
@@ -17,6 +18,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("source", nargs="?", default="")
     p.add_argument("target", nargs="?", default="")
     p.add_argument("--rules", help="a rule pack as JSON or YAML")
+    p.add_argument("--sieve-rules", help="the sieve's configuration as JSON or YAML")
     p.add_argument("--csv", action="store_true")
     a = p.parse_args(argv)
     pack = packs.load(a.rules) if a.rules else packs.DEFAULT
@@ -24,7 +26,8 @@ def main(argv: list[str] | None = None) -> int:
         found = validate(pack)
         print("\n".join(map(" | ".join, found)))
         return int(any(level == "error" for level, _, _ in found))
-    print(json.dumps(run(SparkSession.builder.appName("tidemark").getOrCreate(), a.source, a.target, a.mode, pack, a.csv)))
+    config = sieve.load_config(a.sieve_rules) if a.sieve_rules else sieve.SieveConfig()
+    print(json.dumps(run(SparkSession.builder.appName("tidemark").getOrCreate(), a.source, a.target, a.mode, pack, a.csv, config)))
     return 0
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import re
 from dataclasses import dataclass, field
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +35,45 @@ DEFAULT = [
 ]
 
 
+def load(path: str) -> list[ContentRule]:
+    """Content rules kept as JSON or YAML: a list of mappings, or one below `rules`. Rules whose patterns are invalid are left out; see problems()."""
+    text = Path(path).read_text("utf-8-sig")
+    if path.endswith((".yml", ".yaml")):
+        import yaml
+
+        data = yaml.safe_load(text)
+    else:
+        data = json.loads(text)
+    rows = data["rules"] if isinstance(data, dict) else data
+    listed = lambda r, *names: tuple(str(x) for n in names for x in (r.get(n) or ()))
+    rules = [ContentRule(str(r.get("rule_id") or ""), tuple(k.lower() for k in listed(r, "keywords")), listed(r, "patterns", "regex_patterns"), listed(r, "negatives", "negative_patterns"), {k: str(v) for k, v in (r.get("targets") or r.get("target_fields") or {}).items()}, int(r.get("weight", 5)), listed(r, "flags", "sensitivity_flags")) for r in rows or ()]
+    bad = {rule_id for rule_id, _ in problems(rules)}
+    return [r for r in rules if r.rule_id not in bad]
+
+
+def problems(rules: list[ContentRule]) -> list[tuple[str, str]]:
+    """(rule_id, message) of rules without id or selector, or with a pattern that Python or the engine rejects."""
+    from pyspark.sql import SparkSession
+
+    from .rules import _java_error
+
+    out = []
+    for r in rules:
+        if not r.rule_id:
+            out.append((r.rule_id, "rule without id"))
+        if not (r.keywords or r.patterns):
+            out.append((r.rule_id, "no selector"))
+        for p in (*r.patterns, *r.negatives):
+            try:
+                re.compile(p)
+                said = _java_error(SparkSession.getActiveSession(), p, "")
+            except re.error as e:
+                said = str(e)
+            if said:
+                out.append((r.rule_id, f"invalid pattern: {said}"))
+    return out
+
+
 def match_count(rule: ContentRule, norm: Column, raw: Column) -> Column:
     parts = [F.contains(norm, F.lit(k)).cast("int") for k in rule.keywords] + [F.regexp_count(raw, F.lit(p)) for p in rule.patterns]
     n = reduce(lambda a, b: a + b, parts)

@@ -1,7 +1,7 @@
 """Exact, version and identifier duplicates, their numbering and canonical members.
 
-Keys are reduced by aggregation first and members joined back, so a key with a
-third of all rows is a few partial states, not one task's window. The order of
+A group is reduced by partial aggregates, its canonical member among them, so
+a key with a third of all rows is a few partial states, not one task's window. The order of
 first appearance is the caller's `order` columns; nothing depends on the
 order of files or partitions.
 """
@@ -58,15 +58,22 @@ def groups(files: DataFrame, key: Column, prefix: str, order: tuple[str, ...] =
     canonical member is the one with the greatest (modified_time, size, lower
     name); ties go to the first. Rows without key belong to no group.
     """
-    keyed = files.withColumn("__key", key).where(F.col("__key").isNotNull())
     size = F.coalesce(F.col("size"), F.lit(0))
-    # greatest first, then the earliest: negated numbers cannot be had of strings, so two aggregates
-    rank = F.struct(F.coalesce("modified_time", F.lit("")), size, F.lower(F.coalesce("name", F.lit(""))))
+    rank = F.struct(F.coalesce("modified_time", F.lit("")).alias("at"), size.alias("size"), F.lower(F.coalesce("name", F.lit(""))).alias("name"))
+    found = best_members(files.withColumn("__key", key).where(F.col("__key").isNotNull()), rank, order).where(F.col("n_files") >= 2)
+    return number(found, "first").select(F.col("__key").alias("key"), F.format_string(prefix + "-%05d", "number").alias("group_id"), "n_rows", "n_files", "total_size", "canonical_id")
+
+
+def best_members(keyed: DataFrame, rank: Column, order: tuple[str, ...]) -> DataFrame:
+    """(__key, canonical_id, first, n_files, n_rows, total_size) of each key: its member of greatest rank, of equal ones the first in `order`.
+
+    Three rounds of partial aggregates, by (key, id), by (key, rank) and by
+    key: only the last one brings a key together, as one row for each task.
+    """
+    size = F.coalesce(F.col("size"), F.lit(0))
     per = keyed.groupBy("__key", "file_id").agg(F.max(rank).alias("rank"), F.min(F.struct(*order)).alias("first"), F.count("*").alias("n"), F.sum(size).alias("size"))
-    top = per.groupBy("__key").agg(F.max("rank").alias("top"), F.min("first").alias("first"), F.count("*").alias("n_files"), F.sum("n").alias("n_rows"), F.sum("size").alias("total_size")).where(F.col("n_files") >= 2)
-    best = split_join(per.select("__key", "file_id", "rank", F.col("first").alias("at")), top.select("__key", "top"), "__key", "inner", hot=[]).where(F.col("rank") == F.col("top")).groupBy("__key").agg(F.min_by("file_id", "at").alias("canonical_id"))
-    numbered = number(top, "first")
-    return numbered.join(best, "__key").select(F.col("__key").alias("key"), F.format_string(prefix + "-%05d", "number").alias("group_id"), "n_rows", "n_files", "total_size", "canonical_id")
+    ranked = per.groupBy("__key", "rank").agg(F.min(F.struct("first", "file_id")).alias("m"), F.count("*").alias("n_files"), F.sum("n").alias("n"), F.sum("size").alias("size"))
+    return ranked.groupBy("__key").agg(F.max_by("m.file_id", "rank").alias("canonical_id"), F.min("m.first").alias("first"), F.sum("n_files").alias("n_files"), F.sum("n").alias("n_rows"), F.sum("size").alias("total_size"))
 
 
 def number(df: DataFrame, order: str, name: str = "number", parts: int | None = None) -> DataFrame:
@@ -84,22 +91,32 @@ def number(df: DataFrame, order: str, name: str = "number", parts: int | None =
     return local.join(F.broadcast(shift), "__p").withColumn(name, (F.col("__i") + F.col("__shift")).cast("int")).drop("__p", "__i", "__shift")
 
 
-def members(files: DataFrame, key: Column, prefix: str, **kw) -> DataFrame:
+#: What groups() reads besides the key.
+_READ = ("file_id", "modified_time", "size", "name")
+
+
+def members(files: DataFrame, key: Column, prefix: str, order: tuple[str, ...] = ("listed_at", "file_id")) -> DataFrame:
     """(file_id, group_id, is_canonical) of every member of a group."""
-    g = groups(files, key, prefix, **kw).select(F.col("key").alias("__key"), "group_id", "canonical_id")
-    m = files.select("file_id", key.alias("__key")).where(F.col("__key").isNotNull()).distinct()
-    return split_join(m, g, "__key", "inner").select("file_id", "group_id", (F.col("file_id") == F.col("canonical_id")).alias("is_canonical"))
+    # the key, which may be dear, is made once
+    keyed = materialize(files.select(*dict.fromkeys((*_READ, *order)), key.alias("__k")).where(F.col("__k").isNotNull()), "keyed")
+    return _members(keyed, "__k", prefix, order)
+
+
+def _members(keyed: DataFrame, key: str, prefix: str, order: tuple[str, ...]) -> DataFrame:
+    g = groups(keyed, F.col(key), prefix, order).select(F.col("key").alias("__key"), "group_id", "canonical_id")
+    # only keys of several ids have groups, and the members of a hot one meet its group where they lie
+    m = keyed.select("file_id", F.col(key).alias("__key")).where(F.col("__key").isNotNull())
+    return split_join(m, materialize(g, "groups"), "__key", "inner").select("file_id", "group_id", (F.col("file_id") == F.col("canonical_id")).alias("is_canonical")).distinct()
 
 
-def all_duplicates(files: DataFrame) -> DataFrame:
+def all_duplicates(files: DataFrame, order: tuple[str, ...] = ("listed_at", "file_id")) -> DataFrame:
     """(file_id, kind, group_id, is_canonical): identifier groups override version groups, exact ones override both.
 
     Overridden members still count towards the size and numbering of the group they would have had.
     """
-    # three passes read the files, which may be a long plan
-    files = materialize(files, "files")
-    passes = [("exact", content_key(), "EXACT", 0), ("semantic_candidate", identifier_key(), "SEMANTIC", 1), ("version_candidate", version_key(), "VERSION", 2)]
-    each = [members(files, k, p).withColumns({"kind": F.lit(name), "rank": F.lit(rank)}) for name, k, p, rank in passes]
+    passes = [("exact", content_key(), "EXACT"), ("semantic_candidate", identifier_key(), "SEMANTIC"), ("version_candidate", version_key(), "VERSION")]
+    keyed = materialize(files.select(*dict.fromkeys((*_READ, *order)), *(k.alias(f"__{p}") for _, k, p in passes)), "keyed")
+    each = [_members(keyed, f"__{p}", p, order).withColumns({"kind": F.lit(name), "rank": F.lit(i)}) for i, (name, _, p) in enumerate(passes)]
     union = reduce(DataFrame.unionByName, each)
     best = union.groupBy("file_id").agg(F.min(F.struct("rank", "kind", "group_id", "is_canonical")).alias("b"))
     return best.select("file_id", "b.kind", "b.group_id", "b.is_canonical")

@@ -47,10 +47,11 @@ def resolve(refs: DataFrame, targets: DataFrame, keys: list[str], status: dict,
         else:
             one = targets.where(" and ".join(f"`{k}` is not null" for k in on)).groupBy(*on).agg(*(a.alias(n) for n, a in status.items()), F.lit(True).alias("__found"))
             if len(on) == 1:
-                # the one key's references are spread by split_join
                 part = split_join(mine, one, on[0], "left")
             else:
-                part = mine.join(one, on, "left")
+                # several columns are one key by their JSON, so that references to a hot target are spread as well
+                packed = F.to_json(F.struct(*on))
+                part = split_join(mine.withColumn("__key", packed), one.withColumn("__key", packed).drop(*on), "__key", "left")
             part = part.select(*refs.columns, *status, F.coalesce("__found", F.lit(False)).alias("found"))
         out = part if out is None else out.unionByName(part)
     return out

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def summary(items: DataFrame, *dimensions: str) -> DataFrame:
     """(dimension, value, n) of each dimension in one pass by grouping sets; blank values are "(empty)"."""
@@ -13,6 +17,18 @@ def summary(items: DataFrame, *dimensions: str) -> DataFrame:
     return flat.groupBy("x.dimension", "x.value").agg(F.count("*").alias("n"))
 
 
+def ordered_counts(items: DataFrame, dimension: str, order: tuple[str, ...]) -> DataFrame:
+    """(value, n, place): counts by value, the commonest first, ties by first appearance in `order`; blank values are "(empty)".
+
+    `place` numbers the values from 1 without sorting them in one task.
+    """
+    from .duplicates import number
+
+    value = F.coalesce(F.when(F.trim(F.col(dimension).cast("string")) != "", F.col(dimension).cast("string")), F.lit("(empty)"))
+    counts = items.groupBy(value.alias("value")).agg(F.count("*").alias("n"), F.min(F.struct(*order)).alias("first"))
+    return number(counts.withColumn("__at", F.struct((-F.col("n")).alias("k"), "first")), "__at", "place").select("value", "n", "place")
+
+
 def cube(items: DataFrame, *dimensions: str) -> DataFrame:
     """Counts over all grouping sets of the dimensions, with the set's number."""
     return items.cube(*dimensions).agg(F.grouping_id().alias("grouping_set"), F.count("*").alias("n"))
@@ -45,6 +61,36 @@ def coverage(items: DataFrame) -> DataFrame:
     return items.groupBy("drive_id").agg(F.count("*").alias("n"), F.count_if(F.coalesce(F.col("content_extracted"), F.lit(False))).alias("n_extracted"), F.count_if(F.col("object_kind") == "file").alias("n_files"))
 
 
+def coverage_rows(items: DataFrame) -> DataFrame:
+    """(metric, value, notes): totals, objects by drive and files by whether their content was read."""
+    done = F.coalesce(F.col("content_extracted"), F.lit(False))
+    totals = items.agg(F.count("*").alias("objects"), F.count_if(F.col("object_kind") == "file").alias("files"), F.count_if(F.col("object_kind") == "folder").alias("folders"), F.count_if(F.startswith(F.coalesce("full_path", F.lit("")), F.lit("/Unmapped parent"))).alias("unmapped_parents"))
+    totals = totals.unpivot([], totals.columns, "metric", "value").withColumn("notes", F.lit(""))
+    drives = items.groupBy(F.coalesce("drive_id", F.lit("")).alias("notes")).agg(F.count("*").alias("value")).select(F.lit("objects_by_drive").alias("metric"), "value", "notes")
+    status = F.when(F.col("object_kind") != "file", "not_attempted").when(done, "extracted").otherwise("not_extracted")
+    extracted = items.groupBy(status.alias("notes")).agg(F.count("*").alias("value")).select(F.lit("content_status").alias("metric"), "value", "notes")
+    return totals.unionByName(drives).unionByName(extracted)
+
+
+def quality_rows(items: DataFrame, base: Column | None = None, dimensions: tuple[str, ...] = ("object_kind", "department_suggestion", "document_type_suggestion", "sensitivity_suggestion")) -> DataFrame:
+    """(metric, value, notes): the counts of quality(), of the distributions of some dimensions, and of what lies inside a guarded base."""
+    out = quality(items).withColumn("notes", F.lit(""))
+    spread = summary(items, *dimensions)
+    out = out.unionByName(spread.select(F.concat(F.lit("by_"), "dimension").alias("metric"), F.col("n").alias("value"), F.col("value").alias("notes")))
+    if base is not None:
+        b = items.withColumn("__base", F.coalesce(base, F.lit(False)))
+        inside = {"base_rows": F.lit(True), "base_files": F.col("object_kind") == "file", "base_folders": F.col("object_kind") == "folder", "base_unknown_department": F.coalesce("department_suggestion", F.lit("")).isin("", "unknown"), "base_unknown_type": F.coalesce("document_type_suggestion", F.lit("")).isin("", "unknown")}
+        one = b.agg(*(F.count_if(F.col("__base") & F.coalesce(c, F.lit(False))).alias(m) for m, c in inside.items()))
+        out = out.unionByName(one.unpivot([], list(inside), "metric", "value").withColumn("notes", F.lit("")))
+    return out
+
+
+def folders_in_order(stats: DataFrame, tree: DataFrame) -> DataFrame:
+    """Folder statistics with path and depth, ordered by depth and path; folders without a path come last."""
+    placed = stats.join(tree.select(F.col("file_id").alias("parent"), "full_path", "depth"), "parent", "inner")
+    return placed.orderBy(F.col("depth").asc_nulls_last(), F.col("full_path").asc_nulls_last(), "parent")
+
+
 def folder_stats(items: DataFrame, duplicates: DataFrame | None = None, top: int = 5, many: int = 5) -> DataFrame:
     """Per folder that has children: counts, commonest types, and signals of disorder.
 
@@ -77,10 +123,14 @@ def largest_folders(stats: DataFrame, n: int = 20) -> DataFrame:
 def first_within(rows: DataFrame, order: list[str], most: int, among: Column) -> DataFrame:
     """Rows marked `admitted`: the first `most` of those `among` holds for, in order; a running counter with a cap.
 
-    Found as a bounded top-k, joined back on the order columns, which must be unique.
+    Found as a bounded top-k, joined back on the order columns, which must tell
+    rows apart; rows that agree in all of them are admitted together. Nulls
+    come first, as they order.
     """
-    chosen = rows.where(among).select(*order).orderBy(*order).limit(most).withColumn("admitted", F.lit(True))
-    return rows.join(chosen, order, "left").withColumn("admitted", F.coalesce("admitted", F.lit(False)))
+    chosen = rows.where(among).select(*(F.col(c).alias(f"__{c}") for c in order)).distinct().orderBy(*(f"__{c}" for c in order)).limit(most).withColumn("__in", F.lit(True))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in order])
+    marked = rows.withColumn("__among", F.coalesce(among, F.lit(False))).join(chosen, same, "left")
+    return marked.select(*rows.columns, (F.coalesce("__in", F.lit(False)) & F.col("__among")).alias("admitted"))
 
 
 def stratified_sample(rows: DataFrame, stratum: str, key: str, per_stratum: int, seed: int) -> DataFrame:
@@ -124,28 +174,18 @@ def top_values(items: DataFrame, dimension: str, n: int = 20) -> DataFrame:
 def percentiles(items: DataFrame, by: str, value: str, points: tuple[int, ...] = (50, 90, 95, 99)) -> DataFrame:
     """(by, n, p50, ...): values by nearest rank, nulls left out.
 
-    Exact without ordering a group in one task: equal values are counted
-    first, and only a group's distinct values are ranked by running count.
+    Exact without ordering a group in one task: equal values are counted first,
+    and the distinct (group, value) are sorted by range into parts that cut
+    through groups; each part runs its own count, which the sums of the parts
+    before it, one row for each group in a part, bring up to the group's.
     """
     counts = items.where(F.col(value).isNotNull()).groupBy(F.coalesce(by, F.lit("")).alias(by), F.col(value).alias("__v")).agg(F.count("*").alias("__n"))
-    w = Window.partitionBy(by).orderBy("__v")
-    ranked = counts.withColumns({"__to": F.sum("__n").over(w), "__all": F.sum("__n").over(Window.partitionBy(by))})
+    parts = max(8, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spread = materialize(counts.repartitionByRange(parts, by, "__v").withColumn("__p", F.spark_partition_id()), "percentiles")
+    sums = spread.groupBy(by, "__p").agg(F.sum("__n").alias("__s"))
+    w = Window.partitionBy(by)
+    sums = sums.select(by, "__p", F.coalesce(F.sum("__s").over(w.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"), F.sum("__s").over(w).alias("__all"))
+    local = spread.withColumn("__to", F.sum("__n").over(Window.partitionBy("__p", by).orderBy("__v")))
+    ranked = local.join(sums, ["__p", by]).withColumn("__to", F.col("__to") + F.col("__before"))
     need = lambda p: F.greatest(F.lit(1), F.ceil(F.col("__all") * p / 100))
     return ranked.groupBy(by).agg(F.max("__all").alias("n"), *(F.min(F.when(F.col("__to") >= need(p), F.col("__v"))).alias(f"p{p}") for p in points))
-
-
-def report_views(classified: DataFrame) -> DataFrame:
-    """(view, n): the rows of each report's predicate, all in one pass over classified items."""
-    views: dict[str, Column] = {
-        "conflicts": F.size("conflict_fields") > 0,
-        "unknown": F.col("status") == "unknown",
-        "weak": F.col("status") == "weak",
-        "by_extension_only": F.col("status") == "by_extension_only",
-        "low_or_medium_path": F.col("path_confidence").isin("low", "medium"),
-        "sensitive": ~F.col("sensitivity").isin("", "unknown"),
-        "media": F.col("media") != "unknown",
-        "cleanup": F.col("cleanup") != "unknown",
-        "archive": F.col("lifecycle") == "archive",
-    }
-    one = classified.agg(*(F.count_if(F.coalesce(c, F.lit(False))).alias(v) for v, c in views.items()))
-    return one.unpivot([], list(views), "view", "n")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import dataclasses
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from ..functions.common import table
 from ..operators import content, duplicates, hierarchy, rules, sieve, summaries
 from ..operators.references import current_rows
 from ..packs import DEFAULT
+from ..session import materialize
 from ..streaming import listing_stream
 
 COLUMNS = ("name", "mime_type", "object_kind", "extension", "size", "md5_checksum", "modified_time", "parents", "full_path", "drive_id", "department_suggestion", "document_type_suggestion", "sensitivity_suggestion", "content_extracted", "content_text_hash")
@@ -35,9 +39,14 @@ def name_forms(spark, sf_dir):
 
 
 def name_features(spark, sf_dir):
-    names = table(spark, sf_dir, "inventory_items", "name").distinct()
-    f = lambda p: F.array_join(text.distinct_matches(F.coalesce("name", F.lit("")), p), ",")
-    return names.select("name", f(r"\d{5,6}").alias("numbers"), f(r"(?:19|20)\d{2}").alias("years"), f(r"№ ?\d+").alias("signs"), F.size(text.words(F.coalesce("name", F.lit("")))).alias("n_words"))
+    names = table(spark, sf_dir, "inventory_items", "name").distinct().withColumn("norm", text.normalize_name(F.coalesce("name", F.lit(""))))
+    return names.select("name", *(F.array_join(c, ",").alias(f) for f, c in text.name_features("norm").items()), F.size(text.words("norm")).alias("n_words"))
+
+
+def name_entities(spark, sf_dir):
+    """What the path and name of each object tell."""
+    place = _items(spark, sf_dir).select("file_id", F.concat_ws(" ", F.coalesce("full_path", F.lit("")), F.coalesce("name", F.lit(""))).alias("place"))
+    return place.select("file_id", *(text.entity("place", e, table=text.NAME_ENTITIES).alias(f"{e}_detected") for e in text.NAME_ENTITIES))
 
 
 def entities(spark, sf_dir):
@@ -78,8 +87,22 @@ def rule_performance(spark, sf_dir):
     return rules.rule_performance(spark, RULES, rules.score(RULES, _items(spark, sf_dir)))
 
 
+#: The pack with changes to be noticed: a weight, words added and taken away, a pattern and a kind.
+CHANGED = {
+    "name_draft": {"weight": 6},
+    "name_final": {"tokens": ("final", "финал")},
+    "path_archive": {"patterns": (r"архив",)},
+    "ext_text": {"extensions": ("docx", "pdf")},
+    "sens_guest": {"tokens": ("guest", "гость")},
+}
+PLANTED = [dataclasses.replace(r, **CHANGED.get(r.rule_id, {})) for r in RULES]
+
+
 def rule_strategies(spark, sf_dir):
-    return rules.compare_strategies(RULES, _items(spark, sf_dir)).select("file_id", F.array_join("compiled", ";").alias("compiled"), F.array_join("full_scan", ";").alias("full_scan"))
+    """The compiled pack against a full scan of all its rules, which agree, and of a changed pack, which differ in the changes."""
+    items = materialize(_items(spark, sf_dir), "items")
+    same, other = rules.compare_strategies(RULES, items), rules.compare_strategies(RULES, items, PLANTED)
+    return same.withColumn("pack", F.lit("same")).unionByName(other.withColumn("pack", F.lit("changed")))
 
 
 def rule_validation(spark, sf_dir):
@@ -154,14 +177,6 @@ def sieve_actions(spark, sf_dir):
     return sieve.action_list(_sieved(spark, sf_dir))
 
 
-def sieve_summary(spark, sf_dir):
-    return summaries.summary(_sieved(spark, sf_dir), "status", "extension", "department_suggestion")
-
-
-def sieve_metrics(spark, sf_dir):
-    return sieve.metrics(_sieved(spark, sf_dir))
-
-
 def top_types(spark, sf_dir):
     return summaries.top_values(_items(spark, sf_dir), "mime_type", TOP)
 
@@ -170,10 +185,6 @@ def size_percentiles(spark, sf_dir):
     return summaries.percentiles(_items(spark, sf_dir), "extension", "size")
 
 
-def report_views(spark, sf_dir):
-    return summaries.report_views(rules.classify(RULES, _items(spark, sf_dir)))
-
-
 def folder_children(spark, sf_dir):
     return hierarchy.children(_items(spark, sf_dir))
 
@@ -241,9 +252,9 @@ def listing_table(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        name_forms, name_features, entities, text_profile, markup_text, path_forms, listing_table, rule_hits, rule_vote, rule_status, rule_match_summary, rule_performance, rule_strategies, rule_validation,
-        content_matches, content_vote, content_conflicts, exact_groups, exact_members, version_groups, identifier_groups, duplicate_kinds, sieve_status, sieve_actions, sieve_summary,
-        sieve_metrics, top_types, size_percentiles, report_views, folder_children, event_sessions, summary_by_dimension, dimension_cube, quality_summary, access_coverage, folder_stats, largest_folders, content_cap, sample_plan, unit_rates, events_by_hour,
+        name_forms, name_features, name_entities, entities, text_profile, markup_text, path_forms, listing_table, rule_hits, rule_vote, rule_status, rule_match_summary, rule_performance, rule_strategies, rule_validation,
+        content_matches, content_vote, content_conflicts, exact_groups, exact_members, version_groups, identifier_groups, duplicate_kinds, sieve_status, sieve_actions,
+        top_types, size_percentiles, folder_children, event_sessions, summary_by_dimension, dimension_cube, quality_summary, access_coverage, folder_stats, largest_folders, content_cap, sample_plan, unit_rates, events_by_hour,
     )
 }
 
@@ -262,11 +273,25 @@ _FILES = f"{_CUR}, files as (select * from cur where object_kind = 'file' and no
 _WS = r"[\s\x0B\x{85}\p{Z}]"
 
 
+def _compat() -> tuple[str, str]:
+    """Characters of the basic plane whose NFKC form is one other character, and those forms; by rule from Unicode."""
+    pairs = [(chr(i), unicodedata.normalize("NFKC", chr(i))) for i in range(0x80, 0x10000) if not 0xD800 <= i < 0xE000]
+    pairs = [(a, b) for a, b in pairs if a != b and len(b) == 1 and ord(b) < 0x10000 and not 0x1100 <= ord(a) < 0x1200]
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+def _expansions() -> list[tuple[str, str]]:
+    """Ligatures, signs, Roman numerals and units, with their NFKC forms of several characters."""
+    blocks = ((0x2000, 0x2200), (0xFB00, 0xFB07), (0x1C4, 0x1F4), (0xBC, 0xBF), (0x3371, 0x33E0))
+    forms = [(chr(i), unicodedata.normalize("NFKC", chr(i))) for a, b in blocks for i in range(a, b)]
+    return [(a, b) for a, b in forms if len(b) > 1]
+
+
 def _replaced(x: str) -> str:
-    x = f"translate({x}, {_q(text._compat()[0])}, {_q(text._compat()[1])})"
-    for a, b in text._expansions():
+    x = f"translate({x}, {_q(_compat()[0])}, {_q(_compat()[1])})"
+    for a, b in _expansions():
         x = f"replace({x}, {_q(a)}, {_q(b)})"
-    return x
+    return f"nfc_normalize({x})"
 
 
 def _spaces(x: str) -> str:
@@ -282,11 +307,11 @@ def _base(x: str) -> str:
     words = "|".join(text.VERSION_WORDS)
     x = rf"regexp_replace({_norm(x)}, '\(\s*(?:{words})\s*\)', ' ', 'g')"
     # each pass replaces every other of adjacent markers, so two passes replace all; the marks around stay
-    mark = rf"(^|[^\p{{L}}\p{{N}}_])(?:{words}|v ?[\p{{Nd}}]+|ver ?[\p{{Nd}}]+|rev ?[\p{{Nd}}]+)($|[^\p{{L}}\p{{N}}_])"
+    mark = rf"(^|[^\p{{L}}\p{{N}}_])(?:{words}|(?:v|ver|rev) ?[\p{{Nd}}]+)($|[^\p{{L}}\p{{N}}_])"
     for _ in range(2):
         x = rf"regexp_replace({x}, '{mark}', '\1 \2', 'g')"
     x = rf"regexp_replace({x}, '\([\p{{Nd}}]+\)', ' ', 'g')"
-    date = r"(^|[^\p{Nd}])(?:19|20)[\p{Nd}]{2}[-_. ](?:0?[1-9]|1[0-2])[-_. ](?:3[01]|[12][\p{Nd}]|0?[1-9])($|[^\p{Nd}])"
+    date = rf"(^|[^\p{{Nd}}]){text.date_pattern()}($|[^\p{{Nd}}])"
     x = rf"regexp_replace({x}, '{date}', '\1 \2', 'g')"
     return _spaces(x)
 
@@ -315,9 +340,9 @@ def _kind_sql(r: rules.Rule) -> str:
     return "(" + (" or ".join([f"ext in ({', '.join(map(_q, r.extensions))})"] * bool(r.extensions) + [f"starts_with(mime, {_q(p)})" for p in r.mime_prefixes]) or "false") + ")"
 
 
-def _hits_sql() -> str:
+def _hits_sql(pack: list[rules.Rule] | None = None) -> str:
     parts = []
-    for i, r in enumerate(x for s in rules.SOURCES for x in RULES if x.source == s):
+    for i, r in enumerate(x for s in rules.SOURCES for x in (RULES if pack is None else pack) if x.source == s):
         head = f"select {i} as ord, file_id, {_q(r.source)} as source, {_q(r.rule_id)} as rule_id"
         if r.source == "path":
             parts.append(f"""{head}, cast(sum({r.weight} * (case when i <= 2 then 17 when i > n - 2 then 14 else 10 end)) as int) as score from segs
@@ -330,15 +355,24 @@ def _hits_sql() -> str:
     return " union all ".join(parts)
 
 
-_HITS = f"""with {_CUR},
-base as (select file_id, coalesce(name, '') as raw, {_norm("coalesce(name, '')")} as norm, coalesce(full_path, '') || ' ' || coalesce(name, '') as both_,
-    {_norm("coalesce(full_path, '') || ' ' || coalesce(name, '')")} as bnorm, coalesce(lower(extension), '') as ext, coalesce(mime_type, '') as mime, full_path from cur),
+def _hits_cte(guard: str | None = None) -> str:
+    both = "coalesce(full_path, '') || ' ' || coalesce(name, '')"
+    if guard is not None:
+        both = f"case when file_id in (select file_id from guarded) then coalesce(name, '') else {both} end"
+    below = "" if guard is None else f" where i <= coalesce((select min(g.i) from every g where g.file_id = every.file_id and g.norm = {_q(guard)}), n)"
+    return f"""with {_CUR},
 parts as (select file_id, list_filter(string_split(coalesce(full_path, ''), '/'), lambda s: s <> '') as p from cur),
 flat as (select file_id, len(p) as n, unnest(p) as raw, generate_subscripts(p, 1) as i from parts),
-segs as (select file_id, n, i, raw, {_norm("raw")} as norm from flat),
+every as (select file_id, n, i, raw, {_norm("raw")} as norm from flat),
+guarded as (select distinct file_id from every where norm = {_q(guard or "")}),
+segs as (select * from every{below}),
+base as (select file_id, coalesce(name, '') as raw, {_norm("coalesce(name, '')")} as norm, {both} as both_, {_norm(both)} as bnorm, coalesce(lower(extension), '') as ext, coalesce(mime_type, '') as mime, full_path from cur),
 hits as ({_hits_sql()})"""
 
 
+_HITS = _hits_cte()
+
+
 def _votes_sql() -> str:
     rows = [(f, v, r.rule_id, r.source) for f, vs in rules.fields_of(RULES).items() for v, ids in vs.items() for r in RULES if r.rule_id in ids]
     values = ", ".join(f"({_q(f)}, {_q(v)}, {_q(i)}, {_q(s)})" for f, v, i, s in rows)
@@ -399,7 +433,7 @@ m{tag} as (select distinct f.file_id, n.group_id, f.file_id = n.canonical_id as
 _EXACT, _VERS, _IDENT, _SIEVE_TWINS = (_group_sql(k, p, t) for k, p, t in ((_CONTENT_KEY, "EXACT", "e"), (_VERSION_KEY, "VERSION", "v"), (_IDENT_KEY, "SEMANTIC", "s"), (_STABLE_KEY, "EXACT-SIEVE", "z")))
 _TEXTS = "files as (select 'd' || doc_id as file_id, doc_id as listed_at, title as name, n_chars as size, modified_time, '' as md5_checksum, sha256(text) as content_text_hash from documents)"
 _GROUP_COLS = "group_id, n_rows, n_files, total_size, canonical_id"
-_KNOWN = "lower(trim(coalesce({0}, ''))) <> '' and not contains(lower(trim(coalesce({0}, ''))), 'unknown') and lower(trim(coalesce({0}, ''))) not in ('n/a', 'none', '-')"
+_KNOWN = "(lower(trim(coalesce({0}, ''))) <> ''" + "".join(f" and not contains(lower(trim(coalesce({{0}}, ''))), '{p}')" for p in sieve.UNKNOWN_PARTS) + ")"
 _SIEVE = f"""with {_FILES}, {_SIEVE_TWINS},
 d as (select c.*, z.is_canonical, case
     when not z.is_canonical then 'SUPPRESS_EXACT_DUPLICATE|copy of the canonical file'
@@ -418,8 +452,8 @@ def _summary_sql(src: str, dims: list[str]) -> str:
     return " union all ".join(f"select {_q(d)} as dimension, case when trim(cast({d} as varchar)) <> '' then cast({d} as varchar) else '(empty)' end as value, count(*) as n from {src} group by 2" for d in dims)
 
 
-def _entity_sql() -> str:
-    return ", ".join(f"coalesce(substring(regexp_extract(text, {_q(p)}, {g}), 1, 120), '') as {e}_detected" for e, (p, g) in text.ENTITIES.items())
+def _entity_sql(c: str = "text", table: dict | None = None) -> str:
+    return ", ".join(f"coalesce(substring(regexp_extract({c}, {_q(p)}, {g}), 1, 120), '') as {e}_detected" for e, (p, g) in (text.ENTITIES if table is None else table).items())
 
 
 _KIDS = f"""kids as (select * from (select file_id, object_kind, mime_type, sensitivity_suggestion, document_type_suggestion, unnest(string_split(parents, ';')) as parent from cur) where trim(parent) <> ''),
@@ -432,7 +466,7 @@ _Q = {
     "unknown_sensitivity": f"{_UNK.format('sensitivity_suggestion')} in ('', 'unknown')", "content_extracted": "content_extracted",
 }
 _DIMS = ["object_kind", "department_suggestion", "document_type_suggestion", "sensitivity_suggestion", "drive_id"]
-_FEATURE = lambda p: f"array_to_string(list_sort(list_distinct(regexp_extract_all(coalesce(name, ''), '{p}'))), ',')"
+_FEATURES = ", ".join(f"array_to_string(list_sort(list_distinct(regexp_extract_all(replace(norm, ' ', '  '), {_q(p)}, {g}))), ',') as {f}" for f, (p, g) in text.NAME_FEATURES.items())
 _PAGE = "'<html><style>p {x}</style><h1>' || coalesce(title, '') || '</h1><p>' || coalesce(text, '') || '</p>&amp;&nbsp;<script>var a;</script></html>'"
 
 
@@ -446,7 +480,8 @@ def _markup_sql(x: str) -> str:
 
 SQL = {
     "name_forms": f"select name, mime_type, {_norm('name')} as norm, {_base('name')} as base, {_ext('name', 'mime_type')} as ext from (select distinct name, mime_type from inventory_items)",
-    "name_features": rf"select name, {_FEATURE(chr(92) + 'd{5,6}')} as numbers, {_FEATURE('(?:19|20)' + chr(92) + 'd{2}')} as years, {_FEATURE('№ ?' + chr(92) + 'd+')} as signs, len(regexp_extract_all(coalesce(name, ''), '[\p{{L}}\p{{N}}_]+')) as n_words from (select distinct name from inventory_items)",
+    "name_features": rf"select name, {_FEATURES}, len(regexp_extract_all(norm, '[\p{{L}}\p{{N}}_]+')) as n_words from (select name, {_norm("coalesce(name, '')")} as norm from (select distinct name from inventory_items))",
+    "name_entities": f"with {_CUR}, p as (select file_id, coalesce(full_path, '') || ' ' || coalesce(name, '') as place from cur) select file_id, {_entity_sql('place', text.NAME_ENTITIES)} from p",
     "entities": f"select doc_id, {_entity_sql()} from documents",
     "text_profile": f"""select doc_id, sha256(coalesce(text, '')) as hash, coalesce(length(text), 0) as n,
       case when len(regexp_extract_all(coalesce(text, ''), '[А-Яа-яЁё]')) > len(regexp_extract_all(coalesce(text, ''), '[A-Za-z]')) then 'ru' when regexp_matches(coalesce(text, ''), '[A-Za-z]') then 'en' else 'unknown' end as language,
@@ -463,7 +498,9 @@ SQL = {
     "rule_match_summary": f"{_HITS} select source, rule_id, count(*) as n_hits, count(distinct file_id) as n_files, cast(sum(score) as bigint) as total_score from hits group by 1, 2",
     "rule_performance": f"""{_HITS}, pack(source, rule_id, weight) as (values {", ".join(f"({_q(r.source)}, {_q(r.rule_id)}, {r.weight})" for r in RULES)})
       select p.source, p.rule_id, p.weight, count(h.file_id) as n_hits, count(distinct h.file_id) as n_files, cast(coalesce(sum(h.score), 0) as bigint) as total_score, count(h.file_id) = 0 as zero_hit from pack p left join hits h using (rule_id) group by 1, 2, 3""",
-    "rule_strategies": "select '' as file_id, '' as compiled, '' as full_scan where false",
+    "rule_strategies": f"""{_HITS}, other as ({_hits_sql(PLANTED)})
+      select coalesce(h.file_id, o.file_id) as file_id, coalesce(h.source, o.source) as source, coalesce(h.rule_id, o.rule_id) as rule_id, h.score as compiled, o.score as full_scan, 'changed' as pack
+      from hits h full join other o on h.file_id = o.file_id and h.source = o.source and h.rule_id = o.rule_id where h.score is distinct from o.score""",
     "content_matches": f"{_content_sql()} select * from m",
     "content_vote": f"{_content_vote_sql()} select * from v",
     "content_conflicts": f"""{_content_vote_sql()}, x as (select v.doc_id, content_document_type as c, coalesce(lower(trim(d.document_type)), '') as s from v join documents d using (doc_id))
@@ -477,16 +514,9 @@ SQL = {
       select file_id, kind, group_id, is_canonical from (select *, row_number() over (partition by file_id order by r) as k from u) where k = 1""",
     "sieve_status": f"{_SIEVE} select file_id, status, reason from s",
     "sieve_actions": f"{_SIEVE} select case when starts_with(status, 'KEEP') then 'keep' when starts_with(status, 'HOLD') then 'review' else 'exclude' end as action, status, count(*) as n, cast(coalesce(sum(size), 0) as bigint) as bytes from s group by 1, 2",
-    "sieve_summary": f"{_SIEVE} {_summary_sql('s', ['status', 'extension', 'department_suggestion'])}",
-    "sieve_metrics": f"""{_SIEVE} select count(*) as n, count(*) filter (where starts_with(status, 'KEEP')) as n_keep, count(*) filter (where starts_with(status, 'HOLD')) as n_hold, count(*) filter (where starts_with(status, 'REVIEW')) as n_review,
-      count(*) filter (where starts_with(status, 'EXCLUDE')) as n_exclude, count(*) filter (where starts_with(status, 'SUPPRESS')) as n_suppress, cast(coalesce(sum(size), 0) as bigint) as bytes, cast(coalesce(sum(size) filter (where starts_with(status, 'KEEP')), 0) as bigint) as bytes_keep,
-      count(distinct status) as n_statuses, cast(coalesce(floor(count(*) filter (where starts_with(status, 'KEEP')) * 1000 / nullif(count(*), 0)), 0) as bigint) as keep_per_mille from s""",
     "top_types": f"with {_CUR} select case when trim(mime_type) <> '' then mime_type else '(empty)' end as value, count(*) as n from cur group by 1 order by n desc, value limit {TOP}",
     "size_percentiles": f"""with {_CUR}, x as (select coalesce(extension, '') as extension, size, row_number() over (partition by coalesce(extension, '') order by size) as k, count(*) over (partition by coalesce(extension, '')) as n from cur where size is not null)
       select extension, max(n) as n, {", ".join(f"max(size) filter (where k = greatest(1, ceil(n * {p} / 100))) as p{p}" for p in (50, 90, 95, 99))} from x group by 1""",
-    "report_views": f"""{_votes_sql()}, z as (select v.*, c.path_confidence, case when v.conflict_fields <> '' then 'conflict' when path_confidence = 'high' then 'by_path' when filename_confidence = 'high' then 'by_name' when extension_confidence <> '' then 'by_extension_only' when n_hits > 0 then 'weak' else 'unknown' end as status
-      from conf c join voted v using (file_id)) """ + " union all ".join(f"select {_q(v)} as view, count(*) filter (where {c}) as n from z" for v, c in {"conflicts": "conflict_fields <> ''", "unknown": "status = 'unknown'", "weak": "status = 'weak'", "by_extension_only": "status = 'by_extension_only'",
-        "low_or_medium_path": "path_confidence in ('low', 'medium')", "sensitive": "sensitivity not in ('', 'unknown')", "media": "media <> 'unknown'", "cleanup": "cleanup <> 'unknown'", "archive": "lifecycle = 'archive'"}.items()),
     "folder_children": f"with {_CUR} select distinct parent, file_id from (select file_id, unnest(string_split(parents, ';')) as parent from cur) where trim(parent) <> ''",
     "event_sessions": """with a as (select user_id, ts, case when ts < lag(ts) over (partition by user_id order by ts) + interval 30 minutes then 0 else 1 end as opens from events),
       b as (select user_id, ts, sum(opens) over (partition by user_id order by ts rows unbounded preceding) as s from a)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import json
 from collections.abc import Iterator
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition
 
-from ..functions.text import normalize_name, path_depth, split_extension
+from ..functions.text import as_bool, normalize_name, split_extension
 from ..session import ship
 
 NATIVE = "application/vnd.google-apps."
@@ -60,12 +61,28 @@ def to_items(listing: DataFrame) -> DataFrame:
     )
 
 
-def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header, all texts, no nulls; a byte order mark is skipped, quoted fields may span lines."""
-    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("inferSchema", False).csv(path)
+def read_registry(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """CSV with a header, all texts, no nulls; a byte order mark is skipped.
+
+    Quoted fields may span lines, for which each file is read by one task;
+    without `multiline` large files are split.
+    """
+    df = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"').option("inferSchema", False).csv(path)
     return df.select(*(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c.lstrip("﻿")) for c in df.columns))
 
 
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder of any file system Spark knows."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in store.listStatus(path))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     """One row per key: that of the greatest `order`, then the greatest values."""
     rest = [c for c in df.columns if c not in (key, order)]
@@ -87,13 +104,29 @@ def read_bytes(spark: SparkSession, path: str, most: int) -> DataFrame:
     return df.select("path", "length", "modificationTime", F.when(fits, F.col("content")).alias("content"), F.when(fits, "ok").otherwise("file_too_large").alias("status"))
 
 
-def content_hashes(files: DataFrame) -> DataFrame:
-    """sha256 of the content; '' where there is none."""
-    return files.withColumn("content_hash", F.coalesce(F.sha2("content", 256), F.lit("")))
+def content_hashes(files: DataFrame, most: int | None = None) -> DataFrame:
+    """`files` (content, and mime_type if there is one) with `content_hash` and `export_hash`, sha256 or ''.
+
+    The bytes of native documents are an export and have only an export hash;
+    native kinds that are not exported, content above `most` bytes and null
+    content have neither.
+    """
+    mime = F.coalesce(F.col("mime_type"), F.lit("")) if "mime_type" in files.columns else F.lit("")
+    native = F.startswith(mime, F.lit(NATIVE))
+    fits = F.col("content").isNotNull() if most is None else F.coalesce(F.length("content") <= most, F.lit(False))
+    hashed = F.sha2("content", 256)
+    return files.withColumns({"content_hash": F.when(~native & fits, hashed).otherwise(""), "export_hash": F.when((mime == NATIVE + "document") & fits, hashed).otherwise("")})
+
 
+def get_object(listing: DataFrame, object_id: str) -> DataFrame:
+    """One object of a listing by its id; the filter reaches the source."""
+    return listing.where(F.col("id") == object_id)
 
-def paths_of(items: DataFrame) -> DataFrame:
-    return items.withColumn("depth", path_depth("full_path"))
+
+def typed_registry(registry: DataFrame, numbers: tuple[str, ...] = ("size",), flags: tuple[str, ...] = ()) -> DataFrame:
+    """A registry of texts with some columns typed: numbers that are none are 0 (fractions are cut), flags as as_bool() has them."""
+    number = lambda c: F.coalesce(F.trim(c).try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint")).alias(c)
+    return registry.select(*(number(c) if c in numbers else as_bool(c).alias(c) if c in flags else F.col(c) for c in registry.columns))
 
 
 class _Page(InputPartition):
@@ -101,39 +134,53 @@ class _Page(InputPartition):
         self.path, self.start, self.stop = path, start, stop
 
 
+def _open(path: str):
+    """(file system, path in it) of a location: local, or any store that pyarrow knows by its scheme (hdfs, s3, gs)."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path)
+
+
 class _ListingReader(DataSourceReader):
-    """Pages of a JSON-lines listing, each a partition; `trashed = ...` and one parent are filtered at the source."""
+    """Pages of a JSON-lines listing, each a partition; tests of `trashed`, `driveId` and `id` are done at the source, as is the option `parent`."""
 
     def __init__(self, options: dict):
-        self.path, self.page = options["path"], int(options.get("pagesize", 1 << 20))
-        self.where: dict[tuple, object] = {}
+        self.path, self.page, self.parent = options["path"], int(options.get("pagesize", 1 << 20)), options.get("parent")
+        self.where: dict[str, object] = {}
 
     def pushFilters(self, filters):
         for f in filters:
-            if isinstance(f, EqualTo) and f.attribute in (("trashed",), ("driveId",)):
-                self.where[f.attribute] = f.value
+            if isinstance(f, EqualTo) and f.attribute in (("trashed",), ("driveId",), ("id",)):
+                self.where[f.attribute[0]] = f.value
             else:
                 yield f
 
     def partitions(self) -> list[InputPartition]:
-        import os
-
-        size = os.path.getsize(self.path)
+        store, path = _open(self.path)
+        size = store.get_file_info(path).size
         return [_Page(self.path, at, min(at + self.page, size)) for at in range(0, size, self.page)] or [_Page(self.path, 0, 0)]
 
+    def _wanted(self, x: dict) -> bool:
+        if self.parent is not None and self.parent not in (x.get("parents") or ()):
+            return False
+        return all((bool(x.get(k)) if k == "trashed" else x.get(k)) == v for k, v in self.where.items())
+
     def read(self, partition: _Page) -> Iterator[pa.RecordBatch]:
-        rows = []
-        with open(partition.path, "rb") as f:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        store, path = _open(partition.path)
+        rows, schema = [], to_arrow_schema(LISTING)
+        with store.open_input_file(path) as raw:
+            f = io.BufferedReader(raw, 1 << 20)
             if partition.start:
                 f.seek(partition.start - 1)
                 f.readline()  # the line that began on the page before belongs to it
             while f.tell() < partition.stop and (line := f.readline()):
-                if line.strip():
-                    x = json.loads(line)
-                    if all((x.get(k[0]) or (False if k[0] == "trashed" else None)) == v for k, v in self.where.items()):
-                        rows.append({"id": x.get("id"), "name": x.get("name"), "mimeType": x.get("mimeType"), "size": x.get("size"), "driveId": x.get("driveId"), "modifiedTime": x.get("modifiedTime"), "parents": x.get("parents"), "trashed": bool(x.get("trashed"))})
+                if line.strip() and self._wanted(x := json.loads(line)):
+                    x["trashed"] = bool(x.get("trashed"))
+                    rows.append({k: x.get(k) for k in schema.names})
         if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("id", pa.string()), ("name", pa.string()), ("mimeType", pa.string()), ("size", pa.string()), ("driveId", pa.string()), ("modifiedTime", pa.string()), ("parents", pa.list_(pa.string())), ("trashed", pa.bool_())]))
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
 class ListingSource(DataSource):
@@ -143,8 +190,8 @@ class ListingSource(DataSource):
     def name(cls) -> str:
         return "paged_listing"
 
-    def schema(self) -> str:
-        return "id string, name string, mimeType string, size string, driveId string, modifiedTime string, parents array<string>, trashed boolean"
+    def schema(self) -> T.StructType:
+        return LISTING
 
     def reader(self, schema) -> DataSourceReader:
         return _ListingReader(self.options)
