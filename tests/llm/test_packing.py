@@ -81,6 +81,19 @@ def test_exchange_saves_containers(spark):
     assert exchanged.agg({"n_tokens": "sum", "n_items": "sum"}).first() == alone.agg({"n_tokens": "sum", "n_items": "sum"}).first()
 
 
+def test_certificates_agree_with_the_packing(spark):
+    rng = random.Random(4)
+    df = spark.createDataFrame([(i, rng.choice([0, 3, 30, 51, 70, 100, 230])) for i in range(500)], "doc_id int, n_tokens int")
+    packed = K.pack(df, capacity=100, per_partition=60).cache()
+    got = {r["part"]: r for r in K.certificates(packed, 100).collect()}
+    whole = got.pop("all")
+    assert whole["n_containers"] == sum(r["n_containers"] for r in got.values()) == packed.select("container").distinct().count()
+    assert whole["n_items"] == packed.count() and all(r["gap"] == r["n_containers"] - r["bound"] >= 0 for r in [*got.values(), whole])
+    sizes = np.array([r["n_tokens"] for r in packed.collect()])
+    assert whole["bound"] == K.lower_bound(sizes, 100)
+    assert K.certificates(packed.limit(0), 100).count() == 0
+
+
 def test_empty_table_and_only_empty_texts(spark):
     df = spark.createDataFrame([], "doc_id bigint, n_tokens int")
     assert K.pack(df).count() == 0

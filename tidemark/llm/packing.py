@@ -21,10 +21,15 @@ CAPACITY, PER_PARTITION, ROUNDS = 2048, 20_000, 3
 
 def lower_bound(sizes: np.ndarray, capacity: int) -> int:
     """The largest bound of three families of dual feasible functions: identity, thresholds, rounding."""
-    sizes = sizes[sizes > 0]
-    if not len(sizes):
+    return lower_bound_of_counts(np.bincount(sizes, minlength=capacity + 1), capacity)
+
+
+def lower_bound_of_counts(count: np.ndarray, capacity: int) -> int:
+    """The same from the number of items of each size from 0 to the capacity; empty items need no room."""
+    count = count.astype(np.int64).copy()
+    count[0] = 0
+    if not count.any():
         return 0
-    count = np.bincount(sizes, minlength=capacity + 1).astype(np.int64)
     w = np.arange(capacity + 1)
     best = -(-int((count * w).sum()) // capacity)
     # thresholds a: what leaves less than a counts as full, what is smaller than a as nothing
@@ -125,3 +130,24 @@ def pack(sizes: DataFrame, key: str = "doc_id", size: str = "n_tokens", capacity
 def containers(packed: DataFrame) -> DataFrame:
     """(container, n_items, n_tokens) of each container."""
     return packed.groupBy("container").agg(F.count("*").alias("n_items"), F.sum("n_tokens").alias("n_tokens"))
+
+
+def certificates(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """(part, n_items, n_tokens, n_containers, bound, gap) of each part that was packed by itself, and of `all`.
+
+    bound is what dual feasible functions say the part's items need at least,
+    so gap is the most that any packing of them could save. Items come as
+    counts by size, at most capacity + 1 rows a part.
+    """
+    ship(packed.sparkSession)
+    label = F.when(F.startswith("container", F.lit("alone-")), "alone").otherwise(F.regexp_extract("container", r"^(.*)-\d+$", 1))
+    rows = packed.select(F.explode(F.array(label, F.lit("all"))).alias("part"), "n_tokens", "container")
+    counts = rows.groupBy("part", "n_tokens").agg(F.count("*").alias("n"))
+
+    def bound(key: tuple, sizes: pd.DataFrame) -> pd.DataFrame:
+        count = np.bincount(sizes["n_tokens"].to_numpy(np.int64), weights=sizes["n"].to_numpy(np.int64), minlength=capacity + 1).astype(np.int64)
+        return pd.DataFrame({"part": [key[0]], "n_items": [int(count.sum())], "n_tokens": [int((count * np.arange(len(count))).sum())], "bound": [max(lower_bound_of_counts(count, capacity), 1)]})
+
+    needs = counts.groupBy("part").applyInPandas(bound, "part string, n_items bigint, n_tokens bigint, bound bigint")
+    used = rows.groupBy("part", "container").agg(F.count("*").alias("k")).groupBy("part").agg(F.count("*").alias("n_containers"))
+    return needs.join(used, "part").select("part", "n_items", "n_tokens", "n_containers", "bound", (F.col("n_containers") - F.col("bound")).alias("gap"))

@@ -82,6 +82,11 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.containers(p9_pack(spark, sf_dir))
 
 
+def p9_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bound and gap of each part and of the whole corpus."""
+    return packing.certificates(p9_pack(spark, sf_dir))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.find_residue(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id")
 
@@ -97,7 +102,7 @@ def p10_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(bad, "doc_id", "left_anti").groupBy("source").agg(F.count("*").alias("n_docs"), F.coalesce(F.sum("n_chars"), F.lit(0)).alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_fused, p2_survivors, p2_sources, p3_found, p3_canonical, p3_links, p3_normalized, p8_ids, p8_summary, p9_pack, p9_containers, p10_found, p10_kinds, p10_clean)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_fused, p2_survivors, p2_sources, p3_found, p3_canonical, p3_links, p3_normalized, p8_ids, p8_summary, p9_pack, p9_containers, p9_certificate, p10_found, p10_kinds, p10_clean)}
 
 _UNKNOWN = ", ".join(f"'{w}'" for w in survivor.UNKNOWN)
 

@@ -20,8 +20,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship
 
@@ -137,30 +137,56 @@ def encode_text(text: str | None, path: str) -> bytes:
 class EncodedText:
     """A text with its ids, to which more can be appended or in which a span can be replaced.
 
-    Only the pieces an edit can touch are encoded again. A piece ends at the
-    latest where white space follows a character that is none and is followed
-    by one, so a safe place to start again is the last such place before the
-    edit; `last` of an unfinished final piece is kept and extended.
+    Only the pieces an edit can touch are encoded again. A piece looks at most
+    one character ahead, so pieces that end two before an edit stay. Of the
+    final piece the last token of every prefix is kept: as long as an append
+    only makes it longer, its encoding goes on where it stopped.
     """
 
-
     def __init__(self, text: str, path: str):
         self.path, self.text = path, ""
         self.cuts: list[tuple[int, int]] = []  # (start in the text, number of ids before) of each piece
         self.ids: list[int] = []
+        self.open: tuple[bytes, array] | None = None  # bytes of the final piece and its last tokens, once it has been appended to
+        self.extended = 0  # bytes of prefixes that appends have not had to encode again
         self._encode_from(0, text)
 
     def _encode_from(self, at: int, tail: str) -> None:
         """Keep what is before `at` (a piece's start) and encode `tail` after it."""
         while self.cuts and self.cuts[-1][0] >= at:
             del self.ids[self.cuts.pop()[1] :]
-        self.text = self.text[:at] + tail
+        self.text, self.open = self.text[:at] + tail, None
         for m in pieces_pattern().finditer(self.text, at):
             self.cuts.append((m.start(), len(self.ids)))
             self.ids.extend(array("i", _memo(self.path)[m.group()]))
 
     def append(self, more: str) -> EncodedText:
-        return self.replace(len(self.text), len(self.text), more)
+        if not self.cuts or not more:
+            return self.replace(len(self.text), len(self.text), more)
+        start, before = self.cuts[-1]
+        whole = self.text + more
+        # the pieces before may look as far as into the final one ('ll, say), so their split is looked at again
+        at, m = self.cuts[-3:][0][0], None
+        for want, _ in self.cuts[-3:]:
+            m = pieces_pattern().match(whole, at)
+            if m is None or m.start() != want:
+                break
+            at = m.end()
+        if m is None or m.start() != start or m.end() < len(self.text):  # another split, or the final piece ends sooner now
+            return self.replace(len(self.text), len(self.text), more)
+        encoder, data = _memo(self.path).encoder, m.group().encode("utf-8", "replace")
+        old, last = self.open or (self.text[start:].encode("utf-8", "replace"), array("i"))
+        if not data.startswith(old):
+            return self.replace(len(self.text), len(self.text), more)
+        self.extended += len(last)
+        last = encoder.extend(data, last, len(last))
+        del self.ids[before:]
+        token = encoder.ranks.get(data)
+        self.ids.extend([token] if token is not None else encoder.walk(last))
+        self.text, self.open = whole[: m.end()], (data, last)
+        if m.end() < len(whole):
+            self._encode_from(m.end(), whole[m.end() :])
+        return self
 
     def replace(self, start: int, end: int, by: str) -> EncodedText:
         """Replace text[start:end]; pieces from two before the edit on are split again, as a piece looks at most one character ahead."""
@@ -171,8 +197,15 @@ class EncodedText:
         return self
 
 
-def _batches(path: str, key: str, text: str, counts: bool):
+def _send(spark: SparkSession, vocabulary: str) -> str:
+    """Give the vocabulary to the executors, from the driver's folder or any file system; workers need no folder of their own. Returns its name there."""
+    spark.sparkContext.addFile(f"{FOLDER.rstrip('/')}/{vocabulary}")
+    return vocabulary.rpartition("/")[2]
+
+
+def _batches(name: str, key: str, text: str, counts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path = SparkFiles.get(name)
         for batch in batches:
             coded = [encode_text(t, path) for t in batch.column(text).to_pylist()]
             sizes = np.fromiter((len(c) >> 2 for c in coded), np.int64, len(coded))
@@ -190,17 +223,11 @@ def encode_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", voca
     """(key, ids) of every row. Null and empty texts have an empty list; blank ones are encoded like any other. Repeated rows stay."""
     ship(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(_batches(f"{FOLDER}/{vocabulary}", key, text, False), f"`{key}` {kind}, ids array<int>")
+    return docs.select(key, text).mapInArrow(_batches(_send(docs.sparkSession, vocabulary), key, text, False), f"`{key}` {kind}, ids array<int>")
 
 
 def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     """(key, n_tokens) of every row."""
     ship(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(_batches(f"{FOLDER}/{vocabulary}", key, text, True), f"`{key}` {kind}, n_tokens int")
-
-
-def token_summary(ids: DataFrame) -> DataFrame:
-    """Corpus totals: documents, empty ones, tokens and the longest."""
-    n = F.size("ids")
-    return ids.agg(F.count("*").alias("n_docs"), F.count_if(n == 0).alias("n_empty"), F.coalesce(F.sum(n), F.lit(0)).alias("n_tokens"), F.coalesce(F.max(n), F.lit(0)).alias("longest"))
+    return docs.select(key, text).mapInArrow(_batches(_send(docs.sparkSession, vocabulary), key, text, True), f"`{key}` {kind}, n_tokens int")
