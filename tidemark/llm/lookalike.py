@@ -137,18 +137,24 @@ INVISIBLE = r"[\p{Cf}\p{Cc}͏ᅟᅠ឴឵᠋-᠏ㅤ︀-️ﾠ&&[^\t\n\r]]|[\x{E0
 SPACES = r"[\p{Z}\t\n\r\x0B\x0C\x85]+"
 
 
-def looks_like(c: Column | str) -> Column:
-    """The text as the eye reads it: look-alikes mapped, the invisible removed, spaces one and none at the ends. Null stays null."""
-    c = F.col(c) if isinstance(c, str) else c
-    c = F.trim(F.regexp_replace(F.regexp_replace(c, INVISIBLE, ""), SPACES, " "))
-    one = F.translate(c, *_map())
+def _mapped(c: Column) -> Column:
+    """Look-alikes of one character mapped, the invisible removed, spaces one and none at the ends."""
+    return F.translate(F.trim(F.regexp_replace(F.regexp_replace(c, INVISIBLE, ""), SPACES, " ")), *_map())
+
+
+def _spelt_out(one: Column) -> Column:
+    """Characters that look like several, spelt out. Few texts have any, and one look is cheaper than a replacement for each."""
     many = one
     for a, b in _several().items():
         many = F.replace(many, F.lit(a), F.lit(b))
-    # few texts have any of them, and one look is cheaper than a replacement for each
     return F.when(one.rlike("[" + "".join(f"\\x{{{ord(a):X}}}" for a in _several()) + "]"), many).otherwise(one) if _several() else one
 
 
+def looks_like(c: Column | str) -> Column:
+    """The text as the eye reads it: look-alikes mapped, the invisible removed, spaces one and none at the ends. Null stays null."""
+    return _spelt_out(_mapped(F.col(c) if isinstance(c, str) else c))
+
+
 def classes(names: DataFrame, name: str = "name") -> DataFrame:
     """(name, n, canonical, class_id): every distinct name with the canonical member of its class.
 
@@ -161,8 +167,9 @@ def classes(names: DataFrame, name: str = "name") -> DataFrame:
     plain = F.col("name").rlike(r"^[\x20-\x7E]*$")
     odd = F.length("name") - F.length(F.regexp_replace("name", INVISIBLE + r"|[\p{Z}&&[^ ]]|[！-～]|\p{M}", "")) + F.length("name") - F.length(F.trim(F.regexp_replace("name", " {2,}", " ")))
     mixed = F.col("name").rlike(r"\p{IsLatin}\p{M}*[\p{IsCyrillic}\p{IsGreek}]|[\p{IsCyrillic}\p{IsGreek}]\p{M}*\p{IsLatin}").cast("int")
-    key = looks_like(F.col("name"))
-    keyed = materialize(distinct.select("name", "n", F.when(plain, F.trim(F.regexp_replace("name", " +", " "))).otherwise(key).alias("key"), odd.alias("odd"), mixed.alias("mixed")), "names")
+    # in two steps, so that the mapping is not worked out once more where it is looked at and where it is used
+    first = distinct.select("name", "n", F.when(plain, F.trim(F.regexp_replace("name", " +", " "))).otherwise(_mapped(F.col("name"))).alias("one"), F.when(plain, F.length("name") - F.length(F.trim(F.regexp_replace("name", " {2,}", " ")))).otherwise(odd).alias("odd"), F.when(plain, 0).otherwise(mixed).alias("mixed"), plain.alias("plain"))
+    keyed = materialize(first.select("name", "n", F.when(F.col("plain"), F.col("one")).otherwise(_spelt_out(F.col("one"))).alias("key"), "odd", "mixed"), "names")
     best = F.min_by("name", F.struct("odd", "mixed", (-F.col("n")).alias("n"), "name")).alias("canonical")
     rep = keyed.groupBy(F.collate("key", COLLATION).alias("ckey")).agg(best, F.count("*").alias("n_forms"))
     back = keyed.withColumn("ckey", F.collate("key", COLLATION)).join(rep, "ckey")
