@@ -124,6 +124,7 @@ REVIEWED = [
     (None, "[Music] Good evening. [Applause]" + PROSE),
     (None, "Open %APPDATA% and delete the folder." + PROSE),
     (None, "A List<String> holds texts." + PROSE),
+    (None, "$TSLA and $AAPL rose, [NATO] said, as [McDonald] of the [U.S.] desk told us." + PROSE),
     (None, "We did it together #teamwork# and went home." + PROSE),
     (None, "None taller than him stood there." + PROSE),
     (None, "The variable may become undefined after the second call." + PROSE),

@@ -179,7 +179,7 @@ _USUAL = (
     "page site web server service file document resource url link address request session access account permission preview view browser javascript js script cookie content app portal connect gateway proxy host database object folder direct security "
     "error err found cannot can't can’t could unable unavailab moved remov delet longer denied forbid expir block fail lost reach refus exceed limit many too timed timeout time wrong went problem invalid missing disabl off requir unauthor exception fatal occur broken unexpected "
     "internal bad gone oops sorry try again reload refresh retry later check contact admin support webmaster sign log back go return home start wait second minute few ask owner switch another click enabl allow turn on activat accept please continu proceed verify human robot complet "
-    "open load close window persist moment nothing happens run need must have need sure setting option incident reference changed temporar maint supported version update "
+    "receiv respons upstream detect availab action below capacity downtime encounter open load close window persist moment nothing happens run need must have need sure setting option incident reference changed temporar maint supported version update "
     "страниц сайт сервер сервис файл документ ресурс ссылк адрес запрос запрашива сеанс сесси доступ аккаунт браузер скрипт сценари куки портал приложени таблиц шлюз соединени предпросмотр просмотр содержим технич работ ошибк найден удал перемещ недоступ запрещ ограничен закрыт ист "
     "заверш превыш лимит отвеча отказ существу больше нужн нужен необходим требу слишком много внутренн сбой поддерж выполн отключ невозможн загруз откры неверн попроб проверь провер обратит обнов верн главн назад позже подожд зайди войди вход повтор попытк включ разреш активир настро "
     "info name out side end владел администратор друг учётн учетн запис исправл пошл упс пожалуйста уже работа окно закрыва минут секунд снова позднее авториз удалось велик робот человек капч вероятн возможн"
@@ -210,8 +210,8 @@ _PROGRAM = re.compile(r"[;=(){}<>]|^\s*(?:def|class|import|return|if|for|while|f
 _TALK = re.compile(r"\b(?:placeholder|template|templat\w+|variable|syntax|merge field|tutorial|for example|e\.g\.|escap\w+|macro|tag|marker|format|шаблон\w*|переменн\w+|подставля\w+|подстановк\w+|плейсхолдер\w*|синтаксис\w*|например|макрос\w*|тег\w*|метк\w+|маркер\w*|формат\w*|строк\w+ выгрузки)\b", re.I)
 _TECHNICAL = re.compile(r"\b(?:columns?|dataframes?|pandas|numpy|python|javascript|sql|quer(?:y|ies)|functions?|variables?|methods?|attributes?|modules?|compilers?|interpreters?|operators?|values?|data types?|booleans?|arrays?|parameters?|arguments?|pointers?|behaviou?rs?|shell|terminal|столбц\w*|колонк\w*|переменн\w+|функци\w+|оператор\w*|интерпретатор\w*)\b", re.I)
 _QUOTED = re.compile(r"[«\"“'`]\s*$")
-_CAMEL = re.compile(r"[a-zа-я][A-ZА-Я]|[_.]\w|^[A-ZА-ЯЁ][A-ZА-ЯЁ _]{2,}$")
-_LETTERS = re.compile(r"[^\W\d_]+")
+_SHAPE = re.compile(r"^[a-zа-яё]+[A-ZА-ЯЁ]|\w_\w|[^\W_]{2}\.[a-zа-яё]\w|^[A-ZА-ЯЁ]+(?:[ _][A-ZА-ЯЁ]+)+$")
+_LETTERS = re.compile(r"[A-ZА-ЯЁ]?[a-zа-яё]+|[A-ZА-ЯЁ]+")  # humps of an identifier are words of their own
 
 
 @lru_cache(maxsize=1)
@@ -235,7 +235,7 @@ def is_field(inside: str) -> bool:
     inside = inside.strip(" [](){}<>#%~^|_$:;&@*")
     if inside.upper() in _ENVIRONMENT:
         return False
-    if _CAMEL.search(inside):
+    if _SHAPE.search(inside):
         return True
     short, starts = _field_starts()
     return any(w in short or w.startswith(starts) for w in (x.lower() for x in _LETTERS.findall(inside)))
