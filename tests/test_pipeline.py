@@ -50,6 +50,8 @@ def test_rule_check_from_the_command_line(tmp_path, capsys):
     p.write_text('[{"rule_id": "a", "regex_patterns": ["("]}]')
     assert main(["validate-rules", "--rules", str(p)]) == 1 and "invalid pattern" in capsys.readouterr().out
     assert Rule("x", "filename") not in packs.DEFAULT
+    p.write_text('[{"rule_id": "a", "tokens": ["word"], "tokns": ["x"]}]')
+    assert main(["validate-rules", "--rules", str(p)]) == 0 and "unknown key tokns" in capsys.readouterr().out
 
 
 def test_workbook(spark, tmp_path):

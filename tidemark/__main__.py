@@ -23,7 +23,7 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
     pack = packs.load(a.rules) if a.rules else packs.DEFAULT
     if a.mode == "validate-rules" and not a.target:
-        found = validate(pack)
+        found = validate(pack) + (packs.unknown_keys(a.rules) if a.rules else [])
         print("\n".join(map(" | ".join, found)))
         return int(any(level == "error" for level, _, _ in found))
     config = sieve.load_config(a.sieve_rules) if a.sieve_rules else sieve.SieveConfig()

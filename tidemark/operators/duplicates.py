@@ -109,6 +109,18 @@ def _members(keyed: DataFrame, key: str, prefix: str, order: tuple[str, ...]) ->
     return split_join(m, materialize(g, "groups"), "__key", "inner").select("file_id", "group_id", (F.col("file_id") == F.col("canonical_id")).alias("is_canonical")).distinct()
 
 
+def group_paths(members: DataFrame, files: DataFrame, path: str = "full_path", most: int = 5, order: tuple[str, ...] = ("listed_at", "file_id")) -> DataFrame:
+    """(group_id, n_files, paths): each group's first `most` members by `order`, their paths joined by ' | '.
+
+    files has one row a file. The engine keeps no more than `most` rows of a
+    group in a task before they meet.
+    """
+    placed = members.select("group_id", "file_id").join(files.select(*dict.fromkeys(("file_id", *order)), F.coalesce(path, F.lit("")).alias("__path")), "file_id")
+    few = placed.withColumn("__k", F.row_number().over(Window.partitionBy("group_id").orderBy(*order))).where(F.col("__k") <= most)
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("__k", "__path"))), lambda x: x["__path"])
+    return members.groupBy("group_id").agg(F.count("*").alias("n_files")).join(few.groupBy("group_id").agg(F.array_join(listed, " | ").alias("paths")), "group_id")
+
+
 def all_duplicates(files: DataFrame, order: tuple[str, ...] = ("listed_at", "file_id")) -> DataFrame:
     """(file_id, kind, group_id, is_canonical): identifier groups override version groups, exact ones override both.
 

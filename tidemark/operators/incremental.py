@@ -268,7 +268,9 @@ class IncrementalStore:
         if now is None:
             return self.spark.createDataFrame([], CASE)
         refs = self.tree(now).where((F.col("level") == now["levels"]) & F.col("page").isNotNull())
-        return self._pages(refs).drop("leaf")
+        pages = self._pages(refs)
+        self._check(refs, pages)
+        return pages.drop("leaf")
 
     # a call
 

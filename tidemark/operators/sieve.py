@@ -122,6 +122,22 @@ CORPUS_COLUMNS = (
     "file_id name path mime_type extension size_bytes created_time modified_time content_hash duplicate_group_id canonical_file_id is_canonical corpus_status exclusion_reason sieve_rule_ids "
     "object_hint department_hint document_type_hint sensitivity_hint lifecycle_hint needs_review review_reason safe_for_content_processing safe_for_physical_delete_candidate confidence"
 ).split()
+# fixed values: reasons of the decisions that are not configured, by the id under which a row names them
+REASONS = {
+    "corpus_exact_duplicate_hold": "Exact duplicate held by sensitivity/legal/HR gate.",
+    "corpus_exact_duplicate": "Exact duplicate suppressed from expensive downstream processing.",
+    "corpus_cleanup_system_trash": "Metadata cleanup layer marked system trash.",
+    "corpus_empty_or_near_empty": "Zero-byte or near-empty file is not useful for content extraction.",
+    "corpus_missing_path_review": "Missing path/full_path; parent context is incomplete.",
+    "corpus_sensitive_hold": "Sensitive/legal/HR file held from automatic downstream processing until policy review.",
+    "corpus_keep_default": "",
+}
+# fixed values: reasons of what becomes of a group's members
+ACTION_REASONS = {
+    "canonical": "Canonical file selected for exact duplicate group.",
+    "twin": "Dry-run delete candidate; also suppressed from downstream processing.",
+    "other": "Suppressed from downstream processing.",
+}
 # fixed values: words of paths and names by which the member to keep is chosen
 PASSING_PATHS = ("temp", "tmp", "copy", "export", "whatsapp", "telegram", "download")
 FINAL_WORDS = ("signed", "final", "contract", "legal", "договор")
@@ -211,8 +227,8 @@ def corpus_sieve(rows: DataFrame, config: SieveConfig = SieveConfig(), order: tu
     placed = placed.withColumns({"__canonical": canonical, "__hold": hold_status(config), "__ext": F.regexp_replace(F.lower("extension"), r"^\.+", "")}).withColumn("__is", F.col("file_id") == F.col("__canonical"))
     twin = in_group & ~F.col("__is")
     chain: list[tuple[Column, Column]] = [
-        (twin & (F.col("__hold") != ""), _outcome(F.col("__hold"), "Exact duplicate held by sensitivity/legal/HR gate.", "corpus_exact_duplicate_hold", True, False, False, "high")),
-        (twin, _outcome("CORPUS_SUPPRESS_EXACT_DUPLICATE", "Exact duplicate suppressed from expensive downstream processing.", "corpus_exact_duplicate", False, False, True, "high")),
+        (twin & (F.col("__hold") != ""), _outcome(F.col("__hold"), REASONS["corpus_exact_duplicate_hold"], "corpus_exact_duplicate_hold", True, False, False, "high")),
+        (twin, _outcome("CORPUS_SUPPRESS_EXACT_DUPLICATE", REASONS["corpus_exact_duplicate"], "corpus_exact_duplicate", False, False, True, "high")),
     ]
     for r in config.name_rules:
         if r.pattern:
@@ -222,12 +238,12 @@ def corpus_sieve(rows: DataFrame, config: SieveConfig = SieveConfig(), order: tu
         gone = ~_held(config) if r.status.startswith("CORPUS_EXCLUDE_") else F.lit(False)
         chain.append(((F.col("__ext") != "") & (F.col("__ext").isin(*r.extensions) if r.extensions else F.lit(False)), _outcome(r.status, r.reason, r.rule_id, review, False, gone, "high")))
     chain += [
-        (F.col("cleanup_category") == "system_trash_candidate", _outcome("CORPUS_EXCLUDE_SYSTEM_TRASH", "Metadata cleanup layer marked system trash.", "corpus_cleanup_system_trash", False, False, True, "high")),
-        (near_empty(F.col("size"), F.col("extension"), config.empty, config.near_empty), _outcome("CORPUS_EXCLUDE_EMPTY", "Zero-byte or near-empty file is not useful for content extraction.", "corpus_empty_or_near_empty", False, False, True, "medium")),
-        (F.lit(config.review_missing_path) & (F.col("full_path") == ""), _outcome("CORPUS_REVIEW_UNKNOWN_VALUE", "Missing path/full_path; parent context is incomplete.", "corpus_missing_path_review", True, False, False, "medium")),
-        (F.col("__hold") != "", _outcome(F.col("__hold"), "Sensitive/legal/HR file held from automatic downstream processing until policy review.", "corpus_sensitive_hold", True, False, False, "medium")),
+        (F.col("cleanup_category") == "system_trash_candidate", _outcome("CORPUS_EXCLUDE_SYSTEM_TRASH", REASONS["corpus_cleanup_system_trash"], "corpus_cleanup_system_trash", False, False, True, "high")),
+        (near_empty(F.col("size"), F.col("extension"), config.empty, config.near_empty), _outcome("CORPUS_EXCLUDE_EMPTY", REASONS["corpus_empty_or_near_empty"], "corpus_empty_or_near_empty", False, False, True, "medium")),
+        (F.lit(config.review_missing_path) & (F.col("full_path") == ""), _outcome("CORPUS_REVIEW_UNKNOWN_VALUE", REASONS["corpus_missing_path_review"], "corpus_missing_path_review", True, False, False, "medium")),
+        (F.col("__hold") != "", _outcome(F.col("__hold"), REASONS["corpus_sensitive_hold"], "corpus_sensitive_hold", True, False, False, "medium")),
     ]
-    keep = _outcome("CORPUS_KEEP_CANONICAL", "", "corpus_keep_default", False, True, False, "medium")
+    keep = _outcome("CORPUS_KEEP_CANONICAL", REASONS["corpus_keep_default"], "corpus_keep_default", False, True, False, "medium")
     case = reduce(lambda c, x: F.when(x[0], x[1]) if c is None else c.when(x[0], x[1]), chain, None).otherwise(keep)
     d = placed.withColumn("d", case)
     truth = lambda c: F.lower(c.cast("string"))
@@ -260,8 +276,8 @@ def _with_action(corpus: DataFrame) -> DataFrame:
     canonical, twin = F.col("is_canonical") == "true", status == "CORPUS_SUPPRESS_EXACT_DUPLICATE"
     action = F.when(canonical, "CANONICAL_KEEP").when(held, F.replace(status, F.lit("CORPUS_"), F.lit("DEDUP_"))).when(twin, "EXACT_DUPLICATE_DELETE_CANDIDATE").otherwise("EXACT_DUPLICATE_SUPPRESS_FROM_PROCESSING")
     reason = (
-        F.when(canonical, "Canonical file selected for exact duplicate group.").when(held, F.col("review_reason")).when(twin, "Dry-run delete candidate; also suppressed from downstream processing.")
-        .when(F.col("exclusion_reason") != "", F.col("exclusion_reason")).otherwise("Suppressed from downstream processing.")
+        F.when(canonical, ACTION_REASONS["canonical"]).when(held, F.col("review_reason")).when(twin, ACTION_REASONS["twin"])
+        .when(F.col("exclusion_reason") != "", F.col("exclusion_reason")).otherwise(ACTION_REASONS["other"])
     )
     return corpus.where(F.col("duplicate_group_id") != "").withColumns({"dedup_action": action, "reason": reason})
 

@@ -39,8 +39,11 @@ DEFAULT = [
 ]
 
 
-def load(path: str) -> list[Rule]:
-    """Rules from a list of mappings; `keywords` is another name of tokens, `regex_patterns` and `target_fields` of patterns and targets."""
+#: Keys that a rule kept in a file may have.
+KEYS = frozenset("rule_id source category targets target_fields weight tokens keywords patterns regex_patterns negative_tokens negative_patterns negative_regex_patterns extensions mime_prefixes explanation".split())
+
+
+def _read(path: str) -> list[dict]:
     text = Path(path).read_text("utf-8-sig")
     if path.endswith((".yml", ".yaml")):
         import yaml
@@ -48,12 +51,21 @@ def load(path: str) -> list[Rule]:
         data = yaml.safe_load(text)
     else:
         data = json.loads(text)
-    rows = data["rules"] if isinstance(data, dict) else data
+    return list((data["rules"] if isinstance(data, dict) else data) or ())
+
+
+def unknown_keys(path: str) -> list[tuple[str, str, str]]:
+    """(level, rule_id, message) of keys that no rule has, which are mostly misspelt."""
+    return [("warning", str(r.get("rule_id") or ""), f"unknown key {k}") for r in _read(path) for k in sorted(map(str, r)) if k not in KEYS]
+
+
+def load(path: str) -> list[Rule]:
+    """Rules from a list of mappings; `keywords` is another name of tokens, `regex_patterns` and `target_fields` of patterns and targets."""
     listed = lambda r, *names: tuple(str(x) for n in names for x in (r.get(n) or ()))
     return [
         Rule(
             str(r.get("rule_id") or ""), str(r.get("source") or r.get("category") or "filename"), {k: str(v) for k, v in (r.get("targets") or r.get("target_fields") or {}).items()}, r.get("weight", 10),
             listed(r, "tokens", "keywords"), listed(r, "patterns", "regex_patterns"), listed(r, "negative_tokens"), listed(r, "negative_patterns", "negative_regex_patterns"), listed(r, "extensions"), listed(r, "mime_prefixes"),
         )
-        for r in rows or ()
+        for r in _read(path)
     ]

@@ -16,7 +16,7 @@ from ..functions.common import table
 from ..operators import duplicates, hierarchy, rules, sieve, status, summaries
 from ..session import forget_later, materialize, shared_folder, ship
 from ..sources import extract, readers, sinks
-from .reference_queries import _CUR, RULES, _docs, _ext, _files, _hits_cte, _items, _norm, _q, _votes_sql
+from .reference_queries import _CUR, _EXACT, _TEXTS, RULES, _docs, _ext, _files, _hits_cte, _items, _norm, _q, _texts, _votes_sql
 from .problem_queries import _CURRENT, _TREE
 from .reference_queries import _KIDS
 from .reference_queries import _KNOWN as KNOWN_SQL
@@ -151,6 +151,21 @@ def folder_order(spark, sf_dir):
     return duplicates.number(placed, "__at", "place").select("place", "parent", "depth", "n_folders", "n_files")
 
 
+def group_paths(spark, sf_dir):
+    """Groups of equal texts with their first members."""
+    texts = materialize(_texts(spark, sf_dir), "texts")
+    return duplicates.group_paths(duplicates.members(texts, duplicates.content_key(), "EXACT"), texts, "name")
+
+
+def folder_subtree(spark, sf_dir):
+    """The three folders with most files, and all folders below them."""
+    links = hierarchy.folder_links(table(spark, sf_dir, "inventory_items"), table(spark, sf_dir, "shared_drives"))
+    tree = materialize(hierarchy.resolve_hierarchy(links, paths=True), "tree_paths")
+    stats = summaries.folder_stats(_items(spark, sf_dir)).join(tree.where(F.col("full_path").isNotNull()).select(F.col("file_id").alias("parent")), "parent", "left_semi")
+    roots = [r["parent"] for r in summaries.largest_folders(stats, 3).select("parent").collect()]
+    return hierarchy.subtree(tree, roots).select("file_id", "root_id", "depth", "full_path")
+
+
 def classified_flags(spark, sf_dir):
     """Class of each document by the sensitivity words in it, and confidences in their normal form."""
     flags = F.array_join(F.array_compact(F.array(*(F.when(text.entity("text", e) != "", F.lit(e)) for e in ("email", "phone", "long_number")))), ";")
@@ -270,7 +285,7 @@ def extracted_files(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        corpus_row, canonical_map, dedup_actions, sieve_manifest, sieve_lists, sieve_summary, sieve_metrics, final_status, report_view_rows, report_views, guarded_hits, rule_examples, types_in_order, coverage_rows, quality_rows, folder_order,
+        corpus_row, canonical_map, dedup_actions, sieve_manifest, sieve_lists, sieve_summary, sieve_metrics, final_status, report_view_rows, report_views, guarded_hits, rule_examples, types_in_order, coverage_rows, quality_rows, folder_order, group_paths, folder_subtree,
         classified_flags, source_listing, source_pages, sink_registry, sink_reports, extracted_files,
     )
 }
@@ -296,14 +311,14 @@ def _corpus_sql() -> str:
     hold = f"case when {_any_sql(flat, SIEVE.staff_words)} then 'CORPUS_HOLD_HR' when {_in('cleanup_category', SIEVE.legal_categories)} or contains({flat}, 'legal') or contains({flat}, 'contract') then 'CORPUS_HOLD_LEGAL' when {held} then 'CORPUS_HOLD_SENSITIVE' else '' end"
     twin = "gid is not null and file_id <> canon"
     arms = [
-        (f"{twin} and hold <> ''", "hold", "Exact duplicate held by sensitivity/legal/HR gate.", "corpus_exact_duplicate_hold", "true", "false", "false", "high"),
-        (twin, "'CORPUS_SUPPRESS_EXACT_DUPLICATE'", "Exact duplicate suppressed from expensive downstream processing.", "corpus_exact_duplicate", "false", "false", "true", "high"),
+        (f"{twin} and hold <> ''", "hold", sieve.REASONS["corpus_exact_duplicate_hold"], "corpus_exact_duplicate_hold", "true", "false", "false", "high"),
+        (twin, "'CORPUS_SUPPRESS_EXACT_DUPLICATE'", sieve.REASONS["corpus_exact_duplicate"], "corpus_exact_duplicate", "false", "false", "true", "high"),
         *((f"regexp_matches(name, {_q(r.pattern)})", _q(r.status), r.reason, r.rule_id, str(r.status.startswith("CORPUS_HOLD_")).lower(), "false", "true", "high") for r in SIEVE.name_rules),
         *((_in("ltrim(lower(extension), '.')", r.extensions), _q(r.status), r.reason, r.rule_id, str(r.status.startswith("CORPUS_HOLD_") or r.status == "CORPUS_REVIEW_UNKNOWN_VALUE").lower(), "false", f"not {held}" if r.status.startswith("CORPUS_EXCLUDE_") else "false", "high") for r in SIEVE.extension_rules),
-        ("cleanup_category = 'system_trash_candidate'", "'CORPUS_EXCLUDE_SYSTEM_TRASH'", "Metadata cleanup layer marked system trash.", "corpus_cleanup_system_trash", "false", "false", "true", "high"),
-        (f"try_cast(size as bigint) <= {SIEVE.empty} or (try_cast(size as bigint) <= {SIEVE.near_empty} and lower(extension) in ('txt', 'csv', 'log'))", "'CORPUS_EXCLUDE_EMPTY'", "Zero-byte or near-empty file is not useful for content extraction.", "corpus_empty_or_near_empty", "false", "false", "true", "medium"),
-        ("full_path = ''", "'CORPUS_REVIEW_UNKNOWN_VALUE'", "Missing path/full_path; parent context is incomplete.", "corpus_missing_path_review", "true", "false", "false", "medium"),
-        ("hold <> ''", "hold", "Sensitive/legal/HR file held from automatic downstream processing until policy review.", "corpus_sensitive_hold", "true", "false", "false", "medium"),
+        ("cleanup_category = 'system_trash_candidate'", "'CORPUS_EXCLUDE_SYSTEM_TRASH'", sieve.REASONS["corpus_cleanup_system_trash"], "corpus_cleanup_system_trash", "false", "false", "true", "high"),
+        (f"try_cast(size as bigint) <= {SIEVE.empty} or (try_cast(size as bigint) <= {SIEVE.near_empty} and lower(extension) in ('txt', 'csv', 'log'))", "'CORPUS_EXCLUDE_EMPTY'", sieve.REASONS["corpus_empty_or_near_empty"], "corpus_empty_or_near_empty", "false", "false", "true", "medium"),
+        ("full_path = ''", "'CORPUS_REVIEW_UNKNOWN_VALUE'", sieve.REASONS["corpus_missing_path_review"], "corpus_missing_path_review", "true", "false", "false", "medium"),
+        ("hold <> ''", "hold", sieve.REASONS["corpus_sensitive_hold"], "corpus_sensitive_hold", "true", "false", "false", "medium"),
         ("true", "'CORPUS_KEEP_CANONICAL'", "", "corpus_keep_default", "false", "true", "false", "medium"),
     ]
     pick = "case " + " ".join(f"when {c} then {i}" for i, (c, *_) in enumerate(arms)) + " end"
@@ -327,8 +342,8 @@ corpus as (select file_id, name, full_path as path, mime_type, extension, size a
   case when st = 'CORPUS_KEEP_CANONICAL' then '' else reason end as exclusion_reason, rule as sieve_rule_ids, object_suggestion as object_hint, department_suggestion as department_hint, document_type_suggestion as document_type_hint, sensitivity_suggestion as sensitivity_hint, lifecycle_status as lifecycle_hint,
   cast(review as varchar) as needs_review, case when review then reason else '' end as review_reason, cast(content_safe as varchar) as safe_for_content_processing, cast(gone as varchar) as safe_for_physical_delete_candidate, conf as confidence from d),
 acts as (select *, case when is_canonical = 'true' then 'CANONICAL_KEEP' when corpus_status in ('CORPUS_HOLD_HR', 'CORPUS_HOLD_LEGAL', 'CORPUS_HOLD_SENSITIVE') then replace(corpus_status, 'CORPUS_', 'DEDUP_') when corpus_status = 'CORPUS_SUPPRESS_EXACT_DUPLICATE' then 'EXACT_DUPLICATE_DELETE_CANDIDATE' else 'EXACT_DUPLICATE_SUPPRESS_FROM_PROCESSING' end as dedup_action,
-  case when is_canonical = 'true' then 'Canonical file selected for exact duplicate group.' when corpus_status in ('CORPUS_HOLD_HR', 'CORPUS_HOLD_LEGAL', 'CORPUS_HOLD_SENSITIVE') then review_reason when corpus_status = 'CORPUS_SUPPRESS_EXACT_DUPLICATE' then 'Dry-run delete candidate; also suppressed from downstream processing.'
-    when exclusion_reason <> '' then exclusion_reason else 'Suppressed from downstream processing.' end as reason from corpus where duplicate_group_id <> '')"""
+  case when is_canonical = 'true' then {_q(sieve.ACTION_REASONS["canonical"])} when corpus_status in ('CORPUS_HOLD_HR', 'CORPUS_HOLD_LEGAL', 'CORPUS_HOLD_SENSITIVE') then review_reason when corpus_status = 'CORPUS_SUPPRESS_EXACT_DUPLICATE' then {_q(sieve.ACTION_REASONS["twin"])}
+    when exclusion_reason <> '' then exclusion_reason else {_q(sieve.ACTION_REASONS["other"])} end as reason from corpus where duplicate_group_id <> '')"""
 
 
 def _metrics_sql() -> str:
@@ -437,6 +452,11 @@ SQL = {
     "folder_order": f"""{_TREE.replace(_CURRENT, _CURRENT.rstrip() + ", " + _CUR.replace("cur as (", "whole as (", 1))}, {_KIDS.replace("from cur)", "from whole)")},
       st as (select parent, count(*) filter (where object_kind = 'folder') as n_folders, count(*) filter (where object_kind = 'file') as n_files from kids group by 1)
       select cast(row_number() over (order by t.depth, t.full_path, st.parent) as int) as place, st.parent, cast(t.depth as int) as depth, n_folders, n_files from st join t on t.file_id = st.parent""",
+    "group_paths": f"""with {_TEXTS}, {_EXACT}, p as (select m.group_id, f.name, f.listed_at, row_number() over (partition by m.group_id order by f.listed_at, f.file_id) as k from me m join files f using (file_id))
+      select group_id, count(*) as n_files, string_agg(coalesce(name, ''), ' | ' order by k) filter (where k <= 5) as paths from p group by 1""",
+    "folder_subtree": f"""{_TREE.replace(_CURRENT, _CURRENT.rstrip() + ", " + _CUR.replace("cur as (", "whole as (", 1))}, {_KIDS.replace("from cur)", "from whole)")},
+      top as (select parent from kids where parent in (select file_id from t) group by 1 order by count(*) filter (where object_kind = 'file') desc, parent limit 3)
+      select file_id, root as root_id, cast(depth as int) as depth, full_path from t where file_id in (select parent from top) or file_id in (select a.file_id from a where a.anc in (select parent from top))""",
     "classified_flags": f"""with f as (select doc_id, {_FLAGS} as flags, document_type from documents)
       select doc_id, flags, case when contains(flags, 'email') or contains(flags, 'phone') then 'personal_data' when contains(flags, 'long_number') then 'financial' else 'unknown' end as class,
         case when document_type in ('high', 'medium', 'low', 'needs_review') then document_type when coalesce(document_type, '') in ('', 'unknown') then 'unknown' else 'medium' end as confidence from f""",
